@@ -1,7 +1,7 @@
 """HTML fields as regular-expression column expressions.
 
-A field is read in two steps: ``*_element`` finds its element as text (``''`` if absent),
-and a reader turns that text into the value.  Kept in separate projections the page is
+A field is read in two steps: ``*_element`` finds its element, and a reader turns that
+into the value.  Kept in separate projections the page is
 searched once per field; composed, they serve a single field.
 
 Elements are found by tag plus class or id, whatever the order, quoting and spacing of
@@ -52,33 +52,42 @@ def opening_tag(tag: str, *conditions: str) -> str:
 
 
 def first_element(html: Column, tag: str, *conditions: str) -> Column:
-    """Text of the first such element, tags included; '' if there is none."""
-    return F.regexp_extract(html, _element(tag, *conditions), 0)
+    """What the first such element holds, after a ``>`` mark; '' if there is no such element.
+
+    The mark, the end of the opening tag, tells an empty element from an absent one.
+    """
+    return F.regexp_extract(html, _element(tag, *conditions), 1)
 
 
 def all_elements(html: Column, tag: str, *conditions: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(_element(tag, *conditions)), F.lit(0))
+    return F.regexp_extract_all(html, F.lit(_element(tag, *conditions)), F.lit(1))
 
 
 def _element(tag: str, *conditions: str) -> str:
-    return rf"(?s){opening_tag(tag, *conditions)}.*?(?:</(?i:{tag})\s*>|\z)"
+    # Up to the closing tag or the end of the page, in possessive runs: the matcher moves
+    # from "<" to "<" without backtracking, so long contents cost neither time nor stack.
+    head = opening_tag(tag, *conditions).removesuffix(">")
+    return rf"{head}(>[^<]*+(?:<(?!/(?i:{tag})\s*>)[^<]*+)*+)"
 
 
 def strip_comments(html: Column) -> Column:
-    return F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+    return F.when(html.contains("<!--"), F.regexp_replace(html, r"(?s)<!--.*?-->", "")).otherwise(
+        html
+    )
 
 
 _MARKUP = r"(?is)<(script|style)(?=[\s>]).*?(?:</\1\s*>|\z)|</?[a-z!][^>]*>"
 
 
-def encoded_text(element: Column) -> Column:
-    """Text of an element and its descendants, character references still encoded."""
-    return F.when(element != "", F.regexp_replace(element, _MARKUP, ""))
+def source_of(element: Column) -> Column:
+    """What an element holds, verbatim; NULL if it is absent."""
+    return F.when(element != "", F.substring(element, 2, 2**31 - 1))
 
 
-def source_of(element: Column) -> Column:
-    """What an element holds, verbatim: for scripts, whose text is not markup."""
-    return F.when(element != "", F.regexp_replace(element, r"^<[^>]*>|</[^>]*>\z", ""))
+def encoded_text(element: Column) -> Column:
+    """Text of an element and its descendants, character references still encoded."""
+    held = source_of(element)
+    return F.when(element.contains("<"), F.regexp_replace(held, _MARKUP, "")).otherwise(held)
 
 
 def text_of(element: Column) -> Column:
@@ -166,7 +175,7 @@ def attr_entries(page: Column) -> Column:
     return F.transform(
         texts,
         lambda e: F.struct(
-            F.regexp_replace(strip_ws(decode_entities(e["label"])), ":+$", "").alias("label"),
+            F.rtrim(strip_ws(decode_entities(e["label"])), F.lit(":")).alias("label"),
             strip_ws(decode_entities(e["value"])).alias("value"),
         ),
     )

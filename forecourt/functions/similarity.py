@@ -5,7 +5,7 @@ All take *normalised* text (see :func:`normalise`), whose words are blank-separa
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,36 +26,60 @@ def ratio(a: Column, b: Column) -> Column:
     )
 
 
-def partial_ratio(a: Column, b: Column) -> Column:
+def partial_ratio(short: Column, long: Column) -> Column:
     """Best ratio of the shorter text with a stretch of its length in the longer one."""
-    short = F.when(F.length(a) <= F.length(b), a).otherwise(b)
-    long = F.when(F.length(a) <= F.length(b), b).otherwise(a)
     size = F.length(short)
     starts = F.sequence(F.lit(1), F.length(long) - size + 1)
     best = F.array_max(
         F.transform(starts, lambda i: 1 - F.levenshtein(short, long.substr(i, size)) / size)
     )
-    return F.when(size == 0, F.lit(0.0)).otherwise(best)
-
-
-def token_sort_ratio(a: Column, b: Column) -> Column:
-    """Ratio of the texts with their words in alphabetical order."""
-    return ratio(*[F.array_join(F.array_sort(words(t)), " ") for t in (a, b)])
+    return (
+        F.when(size == 0, F.lit(0.0)).when(long.contains(short), F.lit(1.0)).otherwise(best)
+    )
 
 
-def token_set_ratio(a: Column, b: Column) -> Column:
-    """Best ratio among: the shared words, those plus a's own, those plus b's own."""
-    wa, wb = F.array_distinct(words(a)), F.array_distinct(words(b))
-    shared = F.array_sort(F.array_intersect(wa, wb))
-    with_a = F.concat(shared, F.array_sort(F.array_except(wa, wb)))
-    with_b = F.concat(shared, F.array_sort(F.array_except(wb, wa)))
-    t0, t1, t2 = (F.array_join(x, " ") for x in (shared, with_a, with_b))
-    return F.greatest(ratio(t0, t1), ratio(t0, t2), ratio(t1, t2))
+def similarities(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """Add the four scores of columns ``a`` and ``b`` to each row.
+
+    ``ratio`` compares the texts as they are; ``partial_ratio`` the shorter one with
+    stretches of the longer; ``token_sort_ratio`` their words in alphabetical order; and
+    ``token_set_ratio`` takes the best among: the shared words, those plus a's own, those
+    plus b's own.  Intermediate texts are bound in projections, so each is made once.
+    """
+    c = F.col
+    a_first = F.length(a) <= F.length(b)
+    sorted_words = lambda x: F.array_sort(words(c(x)))
+    bound = pairs.withColumns(
+        {
+            "_short": F.when(a_first, c(a)).otherwise(c(b)),
+            "_long": F.when(a_first, c(b)).otherwise(c(a)),
+            "_wa": sorted_words(a),
+            "_wb": sorted_words(b),
+        }
+    ).withColumns(
+        {
+            "_shared": F.array_intersect("_wa", "_wb"),
+            "_only_a": F.array_except("_wa", "_wb"),
+            "_only_b": F.array_except("_wb", "_wa"),
+        }
+    )
+    joined = bound.withColumns(
+        {
+            "_sa": F.array_join("_wa", " "),
+            "_sb": F.array_join("_wb", " "),
+            "_t0": F.array_join("_shared", " "),
+            "_t1": F.array_join(F.concat("_shared", "_only_a"), " "),
+            "_t2": F.array_join(F.concat("_shared", "_only_b"), " "),
+        }
+    )
+    pairwise = [ratio(c(x), c(y)) for x, y in (("_t0", "_t1"), ("_t0", "_t2"), ("_t1", "_t2"))]
+    return joined.select(
+        *pairs.columns,
+        ratio(c(a), c(b)).alias("ratio"),
+        partial_ratio(c("_short"), c("_long")).alias("partial_ratio"),
+        ratio(c("_sa"), c("_sb")).alias("token_sort_ratio"),
+        F.greatest(*pairwise).alias("token_set_ratio"),
+    )
 
 
-SCORERS = {
-    "ratio": ratio,
-    "partial_ratio": partial_ratio,
-    "token_sort_ratio": token_sort_ratio,
-    "token_set_ratio": token_set_ratio,
-}
+SCORERS = ["ratio", "partial_ratio", "token_sort_ratio", "token_set_ratio"]

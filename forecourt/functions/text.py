@@ -25,11 +25,15 @@ MODEL_CORRECTIONS = [("oddysey", "odyssey")]
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _ENTITY = r"&(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);"
 _ENTITY_SPLIT = _ENTITY.replace("(", "(?:", 1)
+# References replaced without cutting the text; the ampersand must come last.
+_COMMON = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+_UNCOMMON = rf"&(?!(?:{'|'.join(ref[1:] for ref, _ in _COMMON)})){_ENTITY_SPLIT[1:]}"
+_SPACES = "".join(chr(p) for p in range(0x3001) if chr(p).isspace())
 
 
 def strip_ws(text: Column) -> Column:
     """Trim any Unicode whitespace, not only blanks."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(_SPACES))
 
 
 def blank_to_null(text: Column) -> Column:
@@ -68,36 +72,50 @@ def _character(code_point: Column) -> Column:
 
 def _named_entities() -> Column:
     known = {**name2codepoint, "apos": 39}
-    return F.create_map(*[F.lit(v) for pair in sorted(known.items()) for v in pair])
+    table = ",".join(f"{name}:{code}" for name, code in sorted(known.items()))
+    return F.str_to_map(F.lit(table), F.lit(","), F.lit(":"))
 
 
 def decode_entities(text: Column) -> Column:
     """Replace HTML character references once over (``&amp;lt;`` becomes ``&lt;``).
 
-    The text is cut at the references and stitched together again around the decoded
-    characters; unknown names stay as written.  Text without ``&`` skips all of it.
+    Text without ``&`` is returned as it is, the common references are replaced directly,
+    and only text with others is cut at its references and put together again.
     """
-    parts = F.split(text, _ENTITY_SPLIT, -1)
-    found = F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(1))
-    names = _named_entities()
+    common = reduce(
+        lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), _COMMON, text
+    )
+    return (
+        F.when(~text.contains("&"), text)
+        .when(~text.rlike(_UNCOMMON), common)
+        .otherwise(_decode_any(text))
+    )
+
 
-    def decoded(ref: Column) -> Column:
-        code = (
-            F.when(
-                ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 8), 16, 10).try_cast("bigint")
-            )
+def _decode_any(text: Column) -> Column:
+    """Any numeric reference and the named ones of HTML 4; unknown names stay as written."""
+    names = _named_entities()
+    codes = F.transform(
+        F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(1)),
+        lambda ref: F.struct(
+            ref.alias("ref"),
+            F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 8), 16, 10).try_cast("bigint"))
             .when(ref.startswith("#"), F.substring(ref, 2, 8).try_cast("bigint"))
             .otherwise(F.try_element_at(names, ref).cast("bigint"))
-        )
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        return F.when(valid, _character(code)).otherwise(
-            F.concat(F.lit("&"), ref, F.lit(";"))
-        )
-
+            .alias("code"),
+        ),
+    )
+    decoded = F.transform(
+        codes,
+        lambda c: F.when(
+            c["code"].between(1, 0xD7FF) | c["code"].between(0xE000, 0x10FFFF),
+            _character(c["code"]),
+        ).otherwise(F.concat(F.lit("&"), c["ref"], F.lit(";"))),
+    )
+    parts = F.split(text, _ENTITY_SPLIT, -1)
     tail = F.zip_with(
-        found,
+        decoded,
         F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))),
-        lambda ref, rest: F.concat(decoded(ref), rest),
+        lambda char, rest: F.concat(char, rest),
     )
-    stitched = F.concat(F.try_element_at(parts, F.lit(1)), F.array_join(tail, ""))
-    return F.when(text.contains("&"), stitched).otherwise(text)
+    return F.concat(F.try_element_at(parts, F.lit(1)), F.array_join(tail, ""))

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.functions.similarity import SCORERS, normalise, words
+from forecourt.functions.similarity import SCORERS, normalise, similarities, words
 
 _SLACK = 1e-9
 
@@ -133,13 +133,12 @@ def fuzzy_match(
         {"_a": normalise(F.col("input")), "_b": normalise(F.col("target"))}
     )
     scores = F.array(
-        *[
-            F.struct(F.lit(name).alias("scorer"), score(F.col("_a"), F.col("_b")).alias("score"))
-            for name, score in SCORERS.items()
-        ]
+        *[F.struct(F.lit(s).alias("scorer"), F.col(s).alias("score")) for s in SCORERS]
     )
-    scored = pairs.select(*on, "input", "target", F.inline(scores)).filter(
-        F.col("score") >= cutoff
+    scored = (
+        similarities(pairs, "_a", "_b")
+        .select(*on, "input", "target", F.inline(scores))
+        .filter(F.col("score") >= cutoff)
     )
     best = Window.partitionBy(*on, "input", "scorer").orderBy(F.desc("score"), "target")
     near = (
