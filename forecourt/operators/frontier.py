@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from forecourt.functions import html as H
 from forecourt.functions.urls import location_from_url
-from forecourt.session import days, instant
+from forecourt.session import days, instant, staged
 
 LISTING_LINK_CLASS = "posting-title"
 SITE_LIST_CLASS = "geo-site-list-container"
@@ -69,8 +69,10 @@ def crawl_new_links(result_pages: DataFrame, links: DataFrame | None = None) ->
 
     A site's pages are read in ``page_no`` order up to the first that has no link, or only
     links seen on its earlier pages.  Out: ``location, page_no, pos, url`` of pages read.
+    ``links`` passes in links already extracted; otherwise they are extracted and staged.
     """
-    links = listing_links(result_pages) if links is None else links
+    if links is None:
+        links = staged(listing_links(result_pages))
     first_seen = links.groupBy("location", "url").agg(F.min("page_no").alias("page_no"))
     productive = first_seen.select("location", "page_no").distinct()
     stops = (

@@ -43,7 +43,7 @@ def _with(body: str, **ctes: str) -> str:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample.render_pages(sample.listings(spark, sf_dir)).select(
+    return sample.raw_pages(spark, sf_dir).select(
         "url", "location", H.strip_comments(c("raw_html")).alias("page")
     )
 
@@ -338,7 +338,7 @@ FROM listings"""
     )
 )
 def parse_listings(spark, sf_dir):
-    raw = sample.render_pages(sample.listings(spark, sf_dir))
+    raw = sample.raw_pages(spark, sf_dir)
     return extract.parse_listings(raw, sample.dictionary(spark, sf_dir), AS_OF)
 
 

@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forecourt.session import staged
+
 AS_OF = dt.datetime(2001, 8, 1)
 
 LISTINGS_SQL = """
@@ -49,9 +51,21 @@ SELECT DISTINCT p_brand AS make, p_type AS model, substr(p_type, 1, 5) AS short_
 """
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores if they come in fewer files than that.
+
+    The test tables are one file each and would keep one core busy; a stored table of any
+    size has files enough and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     names = ("region", "nation", "customer", "part", "orders", "lineitem")
     frames = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names if n in text}
+    if "lineitem" in frames:
+        frames["lineitem"] = _spread(frames["lineitem"])
     for name in frames:
         text = text.replace(f"FROM {name}", f"FROM {{{name}}}").replace(
             f"JOIN {name}", f"JOIN {{{name}}}"
@@ -59,8 +73,28 @@ def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return spark.sql(text, **frames)
 
 
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A derived table, written once per application and read from then on."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        _STORED[key] = staged(build(spark, sf_dir))
+    return _STORED[key]
+
+
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listings with the columns of the listings table, and the keys they derive from."""
+    """The listings table: its columns, and the keys they derive from."""
+    return _stored(spark, sf_dir, "listings", _derive_listings)
+
+
+def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw-page table: a rendered page for every listing."""
+    return _stored(spark, sf_dir, "raw_pages", lambda s, d: render_pages(listings(s, d)))
+
+
+def _derive_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     blank = F.lit(None).cast("string")
     return _sql(spark, sf_dir, LISTINGS_SQL).withColumns(
         {
@@ -157,12 +191,9 @@ def render_pages(listings_df: DataFrame) -> DataFrame:
     """Raw pages (``url, datetime_pulled, raw_html, location``) for listings.
 
     Mileages of every fifth line are written in thousands; markup style varies with the
-    line number.  The test tables are single small files, so rows are first spread over
-    the cores; stored raw pages come in many splits and need no such step.
+    line number.
     """
     c = F.col
-    cores = listings_df.sparkSession.sparkContext.defaultParallelism
-    listings_df = listings_df.repartition(cores, "url")
     odd = c("l_linenumber") % 2 == 1
     thousands = c("l_linenumber") % 5 == 0
     miles = F.when(thousands, c("odometer") / 1000).otherwise(c("odometer")).cast("string")
