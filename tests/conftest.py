@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
         "tests", master="local[4]", spark__ui__enabled="false",
         spark__sql__shuffle__partitions="4", spark__ui__showConsoleProgress="false",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
-        spark__driver__memory="4g",
+        spark__driver__memory="4g", spark__sql__maxMetadataStringLength="10000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
