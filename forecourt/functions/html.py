@@ -94,10 +94,12 @@ def text_of(element: Column) -> Column:
     return decode_entities(encoded_text(element))
 
 
-def attribute_value(open_tag: Column, name: str) -> Column:
-    """Value of an attribute in an opening tag, decoded; '' if the tag has none."""
-    pattern = rf"""\s(?i:{name})\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))"""
-    return decode_entities(F.concat(*[F.regexp_extract(open_tag, pattern, i) for i in (1, 2, 3)]))
+def attribute_source(open_tag: Column, name: str) -> Column:
+    """Value of an attribute in an opening tag, as written; '' if the tag has none."""
+    pattern = rf"""\s(?i:{name})\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""
+    return F.regexp_replace(
+        F.regexp_extract(open_tag, pattern, 1), r"""(?s)^(["'])(.*)\1\z""", "$2"
+    )
 
 
 # --- elements of a listing page; all take the page with its comments stripped ---------------
@@ -144,7 +146,7 @@ def listing_year(element: Column) -> Column:
 
 def time_posted(tag: Column) -> Column:
     """Posting time as written on the page: the zone offset is dropped, not applied."""
-    return attribute_value(tag, "datetime").try_cast("timestamp_ntz").cast("timestamp")
+    return attribute_source(tag, "datetime").try_cast("timestamp_ntz").cast("timestamp")
 
 
 def num_images(element: Column) -> Column:

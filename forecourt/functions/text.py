@@ -25,9 +25,9 @@ MODEL_CORRECTIONS = [("oddysey", "odyssey")]
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _ENTITY = r"&(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);"
 _ENTITY_SPLIT = _ENTITY.replace("(", "(?:", 1)
-# References replaced without cutting the text; the ampersand must come last.
-_COMMON = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
-_UNCOMMON = rf"&(?!(?:{'|'.join(ref[1:] for ref, _ in _COMMON)})){_ENTITY_SPLIT[1:]}"
+# References replaced without cutting the text.  They yield no "&", so no new references.
+_COMMON = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'")]
+_UNCOMMON = rf"&(?!(?:amp;|{'|'.join(ref[1:] for ref, _ in _COMMON)})){_ENTITY_SPLIT[1:]}"
 _SPACES = "".join(chr(p) for p in range(0x3001) if chr(p).isspace())
 
 
@@ -42,7 +42,7 @@ def blank_to_null(text: Column) -> Column:
 
 def number(text: Column) -> Column:
     """Plain decimal text as a double, anything else NULL (never an error)."""
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.regexp_extract(text, _NUMBER, 0).try_cast("double")
 
 
 def first_substitution(text: Column, corrections: Sequence[tuple[str, str]]) -> Column:
@@ -79,16 +79,17 @@ def _named_entities() -> Column:
 def decode_entities(text: Column) -> Column:
     """Replace HTML character references once over (``&amp;lt;`` becomes ``&lt;``).
 
-    Text without ``&`` is returned as it is, the common references are replaced directly,
-    and only text with others is cut at its references and put together again.
+    Text without ``&`` is returned as it is and the common references are replaced
+    directly; only text with others is cut at its references and put together again.
     """
-    common = reduce(
+    plain = reduce(
         lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), _COMMON, text
     )
+    ampersand = F.replace(plain, F.lit("&amp;"), F.lit("&"))
     return (
         F.when(~text.contains("&"), text)
-        .when(~text.rlike(_UNCOMMON), common)
-        .otherwise(_decode_any(text))
+        .when(~text.rlike(_UNCOMMON), ampersand)
+        .otherwise(_decode_any(plain))
     )
 
 
@@ -99,7 +100,8 @@ def _decode_any(text: Column) -> Column:
         F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(1)),
         lambda ref: F.struct(
             ref.alias("ref"),
-            F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 8), 16, 10).try_cast("bigint"))
+            F.when(ref == "amp", F.lit(38).cast("bigint"))
+            .when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 8), 16, 10).try_cast("bigint"))
             .when(ref.startswith("#"), F.substring(ref, 2, 8).try_cast("bigint"))
             .otherwise(F.try_element_at(names, ref).cast("bigint"))
             .alias("code"),

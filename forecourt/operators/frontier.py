@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.functions import html as H
+from forecourt.functions.text import decode_entities
 from forecourt.functions.urls import location_from_url
 from forecourt.session import days, instant, staged
 
@@ -25,7 +26,9 @@ def hrefs(page: Column, css_class: str | None = None) -> Column:
     conditions = [H.by_class(css_class)] if css_class else []
     has_href = r"(?=[^>]*\s(?i:href)\s*=)"
     tags = F.regexp_extract_all(page, F.lit(H.opening_tag("a", *conditions, has_href)), F.lit(0))
-    return F.transform(tags, lambda tag: H.attribute_value(tag, "href"))
+    return F.transform(
+        F.transform(tags, lambda tag: H.attribute_source(tag, "href")), decode_entities
+    )
 
 
 def listing_links(
@@ -83,7 +86,7 @@ def crawl_new_links(result_pages: DataFrame, links: DataFrame | None = None) ->
         .agg(F.min("page_no").alias("stop_page"))
     )
     return (
-        links.join(stops, "location", "left")
+        links.join(staged(stops), "location", "left")
         .filter(F.col("stop_page").isNull() | (F.col("page_no") < F.col("stop_page")))
         .drop("stop_page")
     )
@@ -109,7 +112,7 @@ def new_links(
     once = links.groupBy("url").agg(
         F.min(F.struct("page_no", "location"))["location"].alias("location")
     )
-    return once.join(seen.select("url"), "url", "left_anti").select(
+    return once.join(seen.select("url").distinct(), "url", "left_anti").select(
         "url", "location", instant(as_of).alias("row_created")
     )
 
@@ -120,7 +123,7 @@ def not_harvested(frontier: DataFrame, raw: DataFrame) -> DataFrame:
     Also what is left of the frontier once harvested rows are deleted.  A NULL URL among
     the raw pages does not hide the whole frontier, as ``NOT IN`` would.
     """
-    return frontier.join(raw.select("url"), "url", "left_anti")
+    return frontier.join(raw.select("url").distinct(), "url", "left_anti")
 
 
 def frontier_cleanup(frontier: DataFrame, raw: DataFrame) -> DataFrame:
@@ -152,7 +155,8 @@ def parse_backlog(raw: DataFrame, processed: DataFrame, latest_only: bool = True
         flagged = last.filter("flagged").select("url")
     else:
         flagged = processed.filter("needs_basic_parsing").select("url")
-    fresh = raw.select("url").join(processed.select("url"), "url", "left_anti")
+    parsed = processed.select("url").distinct()
+    fresh = raw.select("url").distinct().join(parsed, "url", "left_anti")
     return flagged.union(fresh).distinct()
 
 
@@ -164,4 +168,4 @@ def parse_batch(backlog: DataFrame, limit: int = 2500, seed: int = 20230806) ->
 
 def pages_to_parse(raw: DataFrame, batch: DataFrame) -> DataFrame:
     """Raw pages of a chosen batch of URLs."""
-    return raw.join(batch.select("url"), "url", "left_semi")
+    return raw.join(batch.select("url").distinct(), "url", "left_semi")
