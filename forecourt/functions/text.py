@@ -114,10 +114,9 @@ def _decode_any(text: Column) -> Column:
             _character(c["code"]),
         ).otherwise(F.concat(F.lit("&"), c["ref"], F.lit(";"))),
     )
-    parts = F.split(text, _ENTITY_SPLIT, -1)
-    tail = F.zip_with(
-        decoded,
-        F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))),
+    pieces = F.zip_with(
+        F.concat(F.array(F.lit("")), decoded),
+        F.split(text, _ENTITY_SPLIT, -1),
         lambda char, rest: F.concat(char, rest),
     )
-    return F.concat(F.try_element_at(parts, F.lit(1)), F.array_join(tail, ""))
+    return F.array_join(pieces, "")

@@ -28,10 +28,10 @@ ORACLES: dict[str, str] = {}
 c = F.col
 
 
-def query(oracle: str):
+def query(oracle: str, name: str | None = None):
     def register(fn):
-        QUERIES[fn.__name__] = fn
-        ORACLES[fn.__name__] = oracle
+        QUERIES[name or fn.__name__] = fn
+        ORACLES[name or fn.__name__] = oracle
         return fn
 
     return register
@@ -229,7 +229,8 @@ def odometer_repair(spark, sf_dir):
     _with(
         """SELECT url, concat(l_orderkey, '-', l_linenumber, '-',
   CAST(round(price * 100) AS BIGINT)) AS post_id FROM listings"""
-    )
+    ),
+    name="post_id",
 )
 def listing_post_id(spark, sf_dir):
     return sample.listings(spark, sf_dir).select("url", post_id(c("url")).alias("post_id"))
@@ -406,7 +407,8 @@ def make_models(spark, sf_dir):
   WHEN contains(t, 'chysler') THEN replace(t, 'chysler', 'chrysler')
   ELSE t END AS corrected FROM typed""",
         typed=f"SELECT url, lower({_mistyped_sql('title_text')}) AS t FROM listings",
-    )
+    ),
+    name="correct_make",
 )
 def corrected_make(spark, sf_dir):
     return sample.listings(spark, sf_dir).select(
@@ -418,7 +420,8 @@ def corrected_make(spark, sf_dir):
     _with(
         f"""SELECT url, replace(lower({_mistyped_sql('title_text')}), 'oddysey', 'odyssey')
   AS corrected FROM listings"""
-    )
+    ),
+    name="correct_model",
 )
 def corrected_model(spark, sf_dir):
     return sample.listings(spark, sf_dir).select(
@@ -709,7 +712,8 @@ def listing_state(spark, sf_dir):
   CASE WHEN condition IN ('new', 'like new', 'excellent') THEN 1
        WHEN condition IN ('good', 'fair', 'salvage') THEN 0 END + 12.25 * year, 6)
   AS predicted_price FROM listings"""
-    )
+    ),
+    name="predicted_price",
 )
 def predicted_price_formula(spark, sf_dir):
     price = predicted_price(
