@@ -67,13 +67,13 @@ def utf8_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
-def rank_in_groups(df: DataFrame, group: list[str], order: list[Column], out: str, buckets: int = 256) -> DataFrame:
+def rank_in_groups(df: DataFrame, group: list[str], order: list[Column], out: str, buckets: int = 4096) -> DataFrame:
     """``out``: position 0, 1, ... of each row in its group, without holding a group in one task.
 
-    ``order`` starts with a column of hash values: rows are dealt by it into ``buckets`` ranges of
-    equal width, counted by range (map-side sums), and numbered within their range; a range starts
-    after the rows of the ranges before it.  Only ``buckets`` counts per group meet in one task.
-    Equal orders get positions in any order.
+    ``order`` starts with a column of hash values: rows are dealt by it into ``buckets``, counted by
+    bucket (map-side sums), and numbered within their bucket in the given order; a bucket starts after
+    the rows of the buckets before it.  Only ``buckets`` counts per group meet in one task.  Rows equal
+    in all of ``order`` get their positions in any order.
     """
     b = "__bucket"
     dealt = df.withColumn(b, F.pmod(F.shiftrightunsigned(order[0].cast("long"), 1), F.lit(buckets)).cast("int"))

@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import simhash
+from forecourt.llm import mixing, quality, sharding, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_url_filter": url_filter.op2_url_filter,
+    "op5_sharding": sharding.op5_sharding,
+    "op7_mixing": mixing.op7_mixing,
+    "op8_quality": quality.op8_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_url_filter": url_filter.ORACLE,
+}
