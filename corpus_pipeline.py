@@ -1,4 +1,7 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read by the next."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read by the next.
+
+Every stage but the last returns the columns of ``documents``; the last returns the shards.
+"""
 
 from __future__ import annotations
 
@@ -6,21 +9,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import simhash
+from forecourt.llm import decontamination, language_id, mixing, sharding, simhash
 from forecourt.llm.common import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in none of the learned languages go."""
+    return language_id.accepted(docs)
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: three words a shingle, two bits at most."""
     return simhash.keep_first(docs, shingle=3, max_bits=2)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with ten consecutive words of a benchmark item go."""
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the target weights of the sources ask for: not at all, once or twice."""
+    return mixing.copied(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Eight shards of nearly equal size, copies of a text together."""
+    return sharding.contract_rows(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("mixing", mix_sources),
+    ("sharding", shard),
 ]
 
+#: Fingerprints, piece models and Newton iterations are beyond SQL; the tests hold brute force against it.
 ORACLE_SQL: str | None = None
 
 

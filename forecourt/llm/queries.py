@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import mixing, quality, sharding, simhash, url_filter
+from forecourt.llm import decontamination, language_id, mixing, quality, sharding, simhash, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.op1_simhash,
     "op2_url_filter": url_filter.op2_url_filter,
+    "op4_decontamination": decontamination.op4_decontamination,
     "op5_sharding": sharding.op5_sharding,
+    "op6_language_id": language_id.op6_language_id,
     "op7_mixing": mixing.op7_mixing,
     "op8_quality": quality.op8_quality,
+    "op10_token_counts": token_counts.op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {
