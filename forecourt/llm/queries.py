@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import decontamination, language_id, mixing, quality, sharding, simhash, token_counts, url_filter
+from forecourt.llm import decontamination, language_id, mixing, quality, sharding, simhash, suffix_dedup, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.op1_simhash,
     "op2_url_filter": url_filter.op2_url_filter,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_decontamination": decontamination.op4_decontamination,
     "op5_sharding": sharding.op5_sharding,
     "op6_language_id": language_id.op6_language_id,
