@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import decontamination, language_id, mixing, quality, sharding, simhash, suffix_dedup, token_counts, url_filter
+from forecourt.llm import decontamination, html_extraction, language_id, mixing, quality, sharding, simhash, suffix_dedup, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.op1_simhash,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": language_id.op6_language_id,
     "op7_mixing": mixing.op7_mixing,
     "op8_quality": quality.op8_quality,
+    "op9_html_extraction": html_extraction.op9_html_extraction,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 
