@@ -94,7 +94,10 @@ def _runs(data: np.ndarray, ends: np.ndarray, span: int, gram: int) -> tuple[np.
     pieces = -(-(until - starts) // MOST_WINDOWS)
     nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     first = np.repeat(starts, pieces) + nth * MOST_WINDOWS
-    return first, np.minimum(np.repeat(until, pieces) - first, MOST_WINDOWS), least[first]
+    # Least hashes are small numbers: mixed again, so that leading bits are even.
+    key = (least[first] + np.uint64(1)) * MIX
+    key ^= key >> np.uint64(31)
+    return first, np.minimum(np.repeat(until, pieces) - first, MOST_WINDOWS), key * MIX
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, bytes, np.ndarray]]:
