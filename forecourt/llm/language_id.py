@@ -195,19 +195,19 @@ def learn(docs: DataFrame, pieces: list[str], id_col: str = "doc_id", text_col:
     return langs, counts / counts.sum(axis=0)
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], pieces: list[str], text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of every row with ``lang_pred`` and ``score``."""
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], pieces: list[str], text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns ``keep`` of every row, with language and score under ``names``."""
     langs, probabilities = model
     held = docs.sparkSession.sparkContext.broadcast((langs, probabilities, hashed_pieces(pieces)))
     chosen = docs.select(*keep, F.col(text_col).alias("__text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema[:-1]] + ["lang_pred string", "score double"])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema[:-1]] + [f"`{names[0]}` string", f"`{names[1]}` double"])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, probabilities, table = held.value
         known: dict[bytes, int] = defaultdict(count().__next__)
         rows = np.zeros((0, len(langs)))
         for batch in batches:
-            names, scores = [], []
+            found, scores = [], []
             texts = batch.column(batch.num_columns - 1)
             start = 0
             while start < len(texts):
@@ -226,14 +226,14 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], pieces: list[s
                     rows = np.concatenate([rows, log_likelihoods(new, table, probabilities)])
                 for ids, ok in zip(at, lettered, strict=True):
                     if not ok:
-                        names.append("und")
+                        found.append("und")
                         scores.append(0.0)
                         continue
                     total = rows[ids].sum(axis=0)
                     best = int(total.argmax())
-                    names.append(langs[best])
+                    found.append(langs[best])
                     scores.append(float(1.0 / np.exp(total - total[best]).sum()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:-1], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:-1], *names])
 
     return chosen.mapInArrow(scored, schema)
 
@@ -242,8 +242,9 @@ def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` (columns as before) without texts in no language: ``und``, or a score below ``least``."""
     pieces = vocabulary()
     model = learn(docs, pieces)
-    names = tuple(docs.columns)
-    return predict(docs, model, pieces, keep=names).filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*names)
+    columns = tuple(docs.columns)
+    found = predict(docs, model, pieces, keep=columns, names=("__lang", "__score"))
+    return found.filter((F.col("__lang") != "und") & (F.col("__score") >= least)).select(*columns)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

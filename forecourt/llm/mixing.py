@@ -155,16 +155,16 @@ def copied(docs: DataFrame) -> DataFrame:
     key = ["doc_id", "source", "__text"]
     rows = docs.withColumn("__text", F.xxhash64("text"))
     taken = (
-        mix(docs, extra=F.xxhash64("text")).groupBy(F.col("id").alias("t_id"), F.col("source").alias("t_source"), F.col("extra").alias("t_text"))
-        .agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("of"))
+        mix(docs, extra=F.xxhash64("text")).groupBy(F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("extra").alias("__extra"))
+        .agg(F.sum("copies").alias("__n"), F.count(F.lit(1)).alias("__of"))
     )
-    met = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("t_id")) & F.col("source").eqNullSafe(F.col("t_source")) & (F.col("__text") == F.col("t_text")))
+    met = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__text") == F.col("__extra")))
 
     def repeated(df: DataFrame, times: Column) -> DataFrame:
         return df.withColumn("__times", times).filter("__times > 0").withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
 
-    each = repeated(met, F.expr("cast(n div of as int)"))
-    left = repeated(met.filter("n % of > 0").dropDuplicates(key), F.expr("cast(n % of as int)"))
+    each = repeated(met, F.expr("cast(__n div __of as int)"))
+    left = repeated(met.filter("__n % __of > 0").dropDuplicates(key), F.expr("cast(__n % __of as int)"))
     return each.unionByName(left)
 
 

@@ -77,11 +77,11 @@ def verdicts(pages: DataFrame, rules: DataFrame, url_col: str = "url", default:
         expressions.join(book, "prefix").filter(F.col("full") == F.col("digest"))
         .groupBy("host", "path")
         .agg(F.max_by(F.struct(F.concat("r_host", "r_path").alias("rule"), F.col("r_verdict").alias("verdict")), order).alias("won"))
-        .select(F.col("host").alias("w_host"), F.col("path").alias("w_path"), "won.rule", "won.verdict")
+        .select(F.col("host").alias("__host"), F.col("path").alias("__path"), "won.rule", "won.verdict")
     )
     return (
-        at.join(decided, (F.col("host") == F.col("w_host")) & (F.col("path") == F.col("w_path")), "left")
-        .drop("w_host", "w_path")
+        at.join(decided, (F.col("host") == F.col("__host")) & (F.col("path") == F.col("__path")), "left")
+        .drop("__host", "__path")
         .withColumn("verdict", F.coalesce("verdict", F.lit(default)))
     )
 
