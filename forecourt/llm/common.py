@@ -7,6 +7,7 @@ absent (tests, a local session) is a folder below ``spark.sql.warehouse.dir`` us
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +40,9 @@ class Staged:
         self.path = f"{shared_folder(self.spark)}/{label}-{uuid.uuid4().hex}"
         schema = df.schema
         df.write.options(**options).parquet(self.path)
+        # Shuffle files of finished plans go with their objects; else they wait for the driver's next collection.
+        gc.collect()
+        self.spark._jvm.System.gc()
         jpath, fs = _file_system(self.spark, self.path)
         fs.deleteOnExit(jpath)
         self.df = self.spark.read.schema(schema).parquet(self.path)

@@ -59,11 +59,14 @@ BITS_PER_KEY, LEAST_BITS, MOST_BITS = 16, 20, 28
 MIX, POWER = np.uint64(0x9E3779B97F4A7C15), 0x100000001B3
 
 
-def _runs(data: np.ndarray, ends: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, windows, key) of the segments of concatenated documents that end at ``ends``."""
+def _runs(data: np.ndarray, ends: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(start, windows, key) of the segments of concatenated documents that end at ``ends``.
+
+    Also the hashes of all grams and the least of each window.
+    """
     none = np.zeros(0, np.int64)
     if len(data) < span:
-        return none, none, none.astype(np.uint64)
+        return none, none, none.astype(np.uint64), none, none
     # Hashes of grams of 1, 2, 4, ... bytes, each from two halves; then of the rest of ``gram``.
     h, width, power = (data.astype(np.uint64) + np.uint64(1)) * MIX, 1, POWER
     parts = [(1, h, power)]
@@ -97,7 +100,18 @@ def _runs(data: np.ndarray, ends: np.ndarray, span: int, gram: int) -> tuple[np.
     # Least hashes are small numbers: mixed again, so that leading bits are even.
     key = (least[first] + np.uint64(1)) * MIX
     key ^= key >> np.uint64(31)
-    return first, np.minimum(np.repeat(until, pieces) - first, MOST_WINDOWS), key * MIX
+    return first, np.minimum(np.repeat(until, pieces) - first, MOST_WINDOWS), key * MIX, h, least
+
+
+def _anchors(first: np.ndarray, windows: np.ndarray, h: np.ndarray, least: np.ndarray, places: int) -> np.ndarray:
+    """Offset of the gram that decides the key in each segment; -1 if it is not one for all windows."""
+    offset = np.full(len(first), -1)
+    open_ = np.arange(len(first))
+    for d in range(places):
+        hit = h[first[open_] + d] == least[first[open_]]
+        offset[open_[hit]] = d
+        open_ = open_[~hit]
+    return np.where(offset + 1 < windows, -1, offset)
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, bytes, np.ndarray]]:
@@ -154,7 +168,7 @@ def _repeated_keys(docs: DataFrame, span: int, gram: int) -> tuple[np.ndarray, i
             return pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), pa.array([body[i:j] for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())], ["bucket", "keys"])
 
         for _, _, data, ends in _batches(batches):
-            first, _, key = _runs(np.frombuffer(data, np.uint8), ends, span, gram)
+            first, _, key, *_ = _runs(np.frombuffer(data, np.uint8), ends, span, gram)
             doc = np.searchsorted(ends, first, side="right").astype(np.uint64)
             # One of each key and document.
             pair = np.unique(np.stack([key >> np.uint64(20), doc], axis=1), axis=0)[:, 0] if len(first) else key
@@ -194,14 +208,14 @@ def _repeated_keys(docs: DataFrame, span: int, gram: int) -> tuple[np.ndarray, i
 
 
 def _segments(docs: DataFrame, bitmap: np.ndarray, bits: int, span: int, gram: int, kind: str, with_bytes: bool) -> DataFrame:
-    """``(key, sid, id, mark, start, windows)`` of every segment with a marked key, or ``(key, sid, id, bytes)``."""
+    """``(key, sid, id, mark, start, windows)`` of every segment with a marked key, or ``(key, sid, id, bytes, anchor)``."""
     held = docs.sparkSession.sparkContext.broadcast((bitmap, bits))
-    names = ["key", "sid", "id", "bytes"] if with_bytes else ["key", "sid", "id", "mark", "start", "windows"]
+    names = ["key", "sid", "id", "bytes", "anchor"] if with_bytes else ["key", "sid", "id", "mark", "start", "windows"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, bits = held.value
         for ids, marks, data, ends in _batches(batches):
-            first, windows, key = _runs(np.frombuffer(data, np.uint8), ends, span, gram)
+            first, windows, key, h, least = _runs(np.frombuffer(data, np.uint8), ends, span, gram)
             cell = key >> np.uint64(64 - bits)
             keep = (bitmap[cell >> np.uint64(5)] >> (cell & np.uint64(31)).astype(np.uint32)) & 1 != 0
             first, windows, key = first[keep], windows[keep], key[keep]
@@ -212,22 +226,23 @@ def _segments(docs: DataFrame, bitmap: np.ndarray, bits: int, span: int, gram: i
             sid = np.fromiter(map(xxhash.xxh3_64_intdigest, pieces), np.uint64, len(pieces)).view(np.int64)
             columns = [pa.array(key.view(np.int64)), pa.array(sid), pa.array(ids).take(pa.array(doc))]
             if with_bytes:
-                columns.append(pa.array(pieces, pa.binary()))
+                anchor = _anchors(first, windows, h, least, span - gram + 1)
+                columns += [pa.array(pieces, pa.binary()), pa.array(anchor.astype(np.int32))]
             else:
                 begin = np.r_[0, ends[:-1]]
                 columns += [pa.array(np.array(marks, np.int32)[doc]), pa.array((first - begin[doc])), pa.array(windows.astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    rest = "bytes binary" if with_bytes else "mark int, start bigint, windows int"
+    rest = "bytes binary, anchor int" if with_bytes else "mark int, start bigint, windows int"
     return docs.mapInArrow(cut, f"key bigint, sid bigint, id {kind}, {rest}")
 
 
 class _Files:
-    """Transform, common prefixes and suffix numbers of one generation, sequential by first symbol."""
+    """Transform and common prefixes of one generation, sequential by first symbol."""
 
     def __init__(self, folder: str, generation: int, mode: str, symbol: np.dtype):
-        self.kinds = (symbol, np.dtype(np.uint8), np.dtype(np.int32))
-        self.files = [open(os.path.join(folder, f"{name}-{generation % 2}"), mode) for name in ("bwt", "lcp", "number")]  # noqa: SIM115
+        self.kinds = (symbol, np.dtype(np.uint8))
+        self.files = [open(os.path.join(folder, f"{name}-{generation % 2}"), mode) for name in ("bwt", "lcp")]  # noqa: SIM115
 
     def read(self, n: int) -> list[np.ndarray]:
         return [np.fromfile(f, kind, n) for f, kind in zip(self.files, self.kinds, strict=True)]
@@ -280,7 +295,7 @@ def suffix_order(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, folder:
         cuts = np.searchsorted(bucket[by_bucket], np.arange(n_symbols + 1))
         following: list[tuple[np.ndarray, ...]] = []
         for z in order:
-            bwt, lcp, number = old.read(int(sizes[z]))
+            bwt, lcp = old.read(int(sizes[z]))
             mine = by_bucket[cuts[z]:cuts[z + 1]]
             if len(mine):
                 q = place[mine]
@@ -288,19 +303,18 @@ def suffix_order(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, folder:
                 rest = np.ones(size, bool)
                 rest[q] = False
                 inserted = [np.empty(size, kind) for kind in new.kinds]
-                for column, values in zip(inserted, (bwt, lcp, number), strict=True):
+                for column, values in zip(inserted, (bwt, lcp), strict=True):
                     column[rest] = values
                 start = begins[string[mine]]
-                inserted[0][q] = np.where(at[mine] > start, data[np.maximum(at[mine] - 1, 0)], end_mark)
+                inserted[0][q] = np.where(at[mine] > start, data[np.maximum(at[mine] - 1, 0)].astype(symbol), symbol.type(end_mark))
                 inserted[1][q] = before[mine]
-                inserted[2][q] = at[mine]
                 # The common prefix of what follows an insertion, where that was there before.
                 next_ = q + 1
                 settled = (next_ < size) & np.r_[next_[:-1] != q[1:], True]
                 inserted[1][next_[settled]] = after[mine][settled]
-                bwt, lcp, number = inserted
+                bwt, lcp = inserted
                 sizes[z] = size
-            new.write([bwt, lcp, number])
+            new.write([bwt, lcp])
             if len(bwt):
                 here = np.bincount(bwt, minlength=n_symbols)
                 if len(mine):
@@ -327,10 +341,21 @@ def suffix_order(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, folder:
         generation += 1
         string, at, bucket, place, before, after = (np.concatenate(x) for x in zip(*following, strict=True)) if following else (np.zeros(0, np.int64),) * 6
     last = _Files(folder, generation - 1, "rb", symbol)
-    last.read(int(sizes[end_mark]))
-    _, lcp, number = last.read(int(sizes[:end_mark].sum()))
+    bwt, lcp = last.read(int(sizes.sum()))
     last.close()
-    return number, lcp
+    # Suffix numbers: from each string's empty suffix, its next longer one is the one that stands
+    # where the sorted transform has the symbol before it.
+    by_symbol = np.argsort(bwt, kind="stable")
+    by_symbol = by_symbol[:len(bwt) - m]  # without the end marks
+    longer = np.empty(len(bwt), np.int32)
+    longer[by_symbol] = np.arange(m, len(bwt), dtype=np.int32)
+    number = np.empty(len(bwt), np.int32)
+    place, at, string = np.arange(m), ends.copy(), np.arange(m)
+    while len(place):
+        open_ = at > begins[string]
+        place, at, string = longer[place[open_]], at[open_] - 1, string[open_]
+        number[place] = at
+    return number[m:], lcp[m:]
 
 
 def _found(rows: list[tuple[tuple[int, int], bytes, object]], span: int, folder: str) -> tuple[list[tuple[int, int]], list[int]]:
@@ -351,29 +376,58 @@ def _found(rows: list[tuple[tuple[int, int], bytes, object]], span: int, folder:
     return [rows[i][0] for i in at], masks[at].tolist()
 
 
-def _in_blocks(distinct: DataFrame, span: int) -> DataFrame:
-    """``(key, sid, mask)`` from the suffix order of the segments ``(key, sid, bytes, first_id)``."""
+def _related(family: list[tuple], span: int, gram: int) -> list[tuple]:
+    """Of segments of one key, those that can have a window in common with another.
+
+    A window that two segments share holds the deciding gram and, on its left or on its right, at
+    least half of what else fits: segments that agree with no other in either half are left out.
+    """
+    if len(family) < 2:
+        return []
+    if any(anchor < 0 for _, _, anchor, _ in family):
+        return [(name, piece, first_id) for name, piece, _, first_id in family]
+    half = (span - gram) // 2
+    seen: dict[tuple[int, bytes], int] = {}
+    sides = []
+    for _, piece, a, _ in family:
+        mine = []
+        if a >= half:
+            mine.append((0, piece[a - half:a + gram]))
+        if a - (len(piece) - span) < half:
+            mine.append((1, piece[a:a + span - half + 1]))
+        for s in mine:
+            seen[s] = seen.get(s, 0) + 1
+        sides.append(mine)
+    return [(name, piece, first_id) for (name, piece, _, first_id), mine in zip(family, sides, strict=True) if any(seen[s] > 1 for s in mine)]
+
+
+def _in_blocks(distinct: DataFrame, span: int, gram: int) -> DataFrame:
+    """``(key, sid, mask)`` from the suffix order of the segments ``(key, sid, bytes, anchor, first_id)``."""
 
     def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with tempfile.TemporaryDirectory() as folder:  # the task's own scratch: a lost task starts anew
-            rows, size, last = [], 0, None
+            rows, size, last, family = [], 0, None, []
 
             def block() -> pa.RecordBatch:
-                names, masks = _found(rows, span, folder)
+                names, masks = _found(rows, span, folder) if rows else ([], [])
                 return pa.RecordBatch.from_arrays([*(pa.array([n[i] for n in names], pa.int64()) for i in (0, 1)), pa.array(masks, pa.int64())], ["key", "sid", "mask"])
 
             for batch in batches:
-                for key, sid, piece, first_id in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    if size >= BLOCK_BYTES and key != last:
-                        yield block()
-                        rows, size = [], 0
-                    rows.append(((key, sid), piece, first_id))
-                    size += len(piece)
-                    last = key
+                for key, sid, piece, anchor, first_id in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if key != last:
+                        kept = _related(family, span, gram)
+                        rows += kept
+                        size += sum(len(b) for _, b, _ in kept)
+                        family, last = [], key
+                        if size >= BLOCK_BYTES:
+                            yield block()
+                            rows, size = [], 0
+                    family.append(((key, sid), piece, anchor, first_id))
+            rows += _related(family, span, gram)
             if rows:
                 yield block()
 
-    dealt = distinct.select("key", "sid", "bytes", "first_id").repartition("key").sortWithinPartitions("key")
+    dealt = distinct.select("key", "sid", "bytes", "anchor", "first_id").repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(ordered, "key bigint, sid bigint, mask bigint")
 
 
@@ -389,10 +443,10 @@ def repeated_places(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: in
     shared = staged(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("first_id").alias("low"), F.max("last_id").alias("high")).filter("n > 1 and low < high").select("key", "n"), "shared_keys")
     bits = _bits_for(shared.count())
     bitmap = _bitmap(shared.select(F.shiftrightunsigned("key", 64 - bits).alias("cell")), bits)
-    differing = _segments(docs, bitmap, bits, span, gram, kind, True).groupBy("key", "sid", "bytes").agg(F.min("id").alias("first_id"))
+    differing = _segments(docs, bitmap, bits, span, gram, kind, True).groupBy("key", "sid", "bytes", "anchor").agg(F.min("id").alias("first_id"))
     differing = staged(differing, "differing_segments", compression="zstd")
     hot_keys = staged(shared.filter(F.col("n") > hot).select("key"), "hot_keys")
-    in_order = _in_blocks(differing.join(hot_keys, "key", "left_anti"), span)
+    in_order = _in_blocks(differing.join(hot_keys, "key", "left_anti"), span, gram)
     # Windows of hot keys, by their bytes.
     windows = (
         differing.join(hot_keys, "key", "left_semi")
