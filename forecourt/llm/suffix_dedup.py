@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import staged
+from forecourt.llm.common import Staged, staged
 
 SPAN = 50
 GRAM = 24
@@ -437,19 +437,21 @@ def repeated_places(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: in
     places: array of (start, mask): window start + b is repeated if bit b of the mask is set.
     """
     kind = docs.schema["id"].dataType.simpleString()
-    cut = staged(_segments(docs, *_repeated_keys(docs, span, gram), span, gram, kind, False), "segments", compression="zstd")
-    distinct = staged(cut.groupBy("key", "sid").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")), "distinct_segments", compression="zstd")
+    cut = Staged(_segments(docs, *_repeated_keys(docs, span, gram), span, gram, kind, False), "segments", compression="zstd")
+    distinct = Staged(cut.df.groupBy("key", "sid").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")), "distinct_segments", compression="zstd")
     # Only segments that differ and share a key can have windows in common.
-    shared = staged(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("first_id").alias("low"), F.max("last_id").alias("high")).filter("n > 1 and low < high").select("key", "n"), "shared_keys")
+    shared = staged(distinct.df.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("first_id").alias("low"), F.max("last_id").alias("high")).filter("n > 1 and low < high").select("key", "n"), "shared_keys")
     bits = _bits_for(shared.count())
     bitmap = _bitmap(shared.select(F.shiftrightunsigned("key", 64 - bits).alias("cell")), bits)
-    differing = _segments(docs, bitmap, bits, span, gram, kind, True).groupBy("key", "sid", "bytes", "anchor").agg(F.min("id").alias("first_id"))
-    differing = staged(differing, "differing_segments", compression="zstd")
+    differing = Staged(
+        _segments(docs, bitmap, bits, span, gram, kind, True).groupBy("key", "sid", "bytes", "anchor").agg(F.min("id").alias("first_id")),
+        "differing_segments", compression="zstd",
+    )
     hot_keys = staged(shared.filter(F.col("n") > hot).select("key"), "hot_keys")
-    in_order = _in_blocks(differing.join(hot_keys, "key", "left_anti"), span, gram)
+    in_order = _in_blocks(differing.df.join(hot_keys, "key", "left_anti"), span, gram)
     # Windows of hot keys, by their bytes.
     windows = (
-        differing.join(hot_keys, "key", "left_semi")
+        differing.df.join(hot_keys, "key", "left_semi")
         .select("key", "sid", "bytes", "first_id", F.explode(F.sequence(F.lit(0), F.length("bytes") - span)).alias("w"))
         .select("key", "sid", "first_id", "w", F.expr(f"substring(bytes, w + 1, {span})").alias("window"))
     )
@@ -459,16 +461,21 @@ def repeated_places(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: in
         .groupBy("key", "sid").agg(F.bit_or(F.expr("shiftleft(1L, w)")).alias("mask"))
     )
     found = staged(in_order.unionByName(by_bytes), "repeats")
-    known = (
-        distinct.join(found, ["key", "sid"], "left").filter("mask is not null or last_id > first_id")
-        .select("key", "sid", "first_id", F.coalesce("mask", F.lit(0)).alias("mask"))
+    differing.drop()
+    known = Staged(
+        distinct.df.join(found, ["key", "sid"], "left").filter("mask is not null or last_id > first_id")
+        .select("key", "sid", "first_id", F.coalesce("mask", F.lit(0)).alias("mask")), "known_segments", compression="zstd",
     )
+    distinct.drop()
     whole = F.expr("shiftleft(1L, windows) - 1")
-    return (
-        cut.join(known, ["key", "sid"])
+    places = staged(
+        cut.df.join(known.df, ["key", "sid"])
         .select("id", "mark", "start", F.when(F.col("id") > F.col("first_id"), whole).otherwise(F.col("mask")).alias("m"))
-        .filter("m != 0").groupBy("id", "mark").agg(F.collect_set(F.struct("start", "m")).alias("places"))
+        .filter("m != 0").groupBy("id", "mark").agg(F.collect_set(F.struct("start", "m")).alias("places")), "places", compression="zstd",
     )
+    cut.drop()
+    known.drop()
+    return places
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, hot: int = HOT) -> DataFrame:
