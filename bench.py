@@ -2,8 +2,8 @@
 
 ``BENCH_SF_DIR`` names the tables (default sf0.1), ``BENCH_CPUS`` the cores.  Each query is
 built and run in full into a sink that discards its rows, once to warm up and then
-``BENCH_RUNS`` times (default 1); the best time counts.  The listings and raw-page tables
-that the queries read are derived from the given tables first; that is timed as well.
+``BENCH_RUNS`` times (default 1); the best time counts.  Times include deriving the listings
+and pages that a query reads from the given tables.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from forecourt.plans import catalog  # noqa: E402
 from forecourt.session import build_session  # noqa: E402
-from forecourt.sources import sample  # noqa: E402
 
 HEADLINE = [
     "lm_fit_set", "lm_fit", "hot_deals", "best_deals", "price_quantiles",
@@ -45,10 +44,6 @@ def main() -> None:
         return time.time() - started
 
     times = {}
-    for name, table in (("derive_listings", sample.listings), ("derive_raw_pages", sample.raw_pages)):
-        started = time.time()
-        table(spark, sf_dir)
-        times[name] = round(time.time() - started, 3)
     for name in HEADLINE:
         tries = [once(name)]
         if name not in SINGLE_RUN:

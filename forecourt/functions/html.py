@@ -5,8 +5,8 @@ into the value.  Kept in separate projections the page is
 searched once per field; composed, they serve a single field.
 
 Elements are found by tag plus class or id, whatever the order, quoting and spacing of
-their attributes.  Limits: an element ends at the first closing tag of its own kind (no
-same-tag nesting), and attribute values must not contain ``>``.
+their attributes.  An element may hold others of its own kind, ``NESTING`` deep; deeper ones
+count as text.  Scripts and styles are only searched for scripts.
 """
 
 from __future__ import annotations
@@ -19,6 +19,11 @@ from pyspark.sql import functions as F
 from forecourt.functions.text import decode_entities, number, strip_ws
 
 
+NESTING = 8
+# Inside a tag: quoted values may contain ">".
+_INSIDE = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
+
+
 def _attribute(name: str, token: str, whole: bool) -> str:
     """Look-ahead inside an opening tag: attribute ``name`` has ``token``.
 
@@ -35,7 +40,11 @@ def _attribute(name: str, token: str, whole: bool) -> str:
             rf"'(?:[^']*\s)?{value}(?:\s[^']*)?'",
         ]
     bare = rf"{value}(?=[\s>])"
-    return rf"(?=[^>]*\s(?i:{name})\s*=\s*(?:{'|'.join([*quoted, bare])}))"
+    return rf"(?={_INSIDE}?\s(?i:{name})\s*=\s*(?:{'|'.join([*quoted, bare])}))"
+
+
+def has_attribute(name: str) -> str:
+    return rf"(?={_INSIDE}?\s(?i:{name})\s*=)"
 
 
 def by_class(css_class: str) -> str:
@@ -48,7 +57,7 @@ def by_id(element_id: str) -> str:
 
 
 def opening_tag(tag: str, *conditions: str) -> str:
-    return rf"<(?i:{tag})(?=[\s>]){''.join(conditions)}[^>]*>"
+    return rf"<(?i:{tag})(?=[\s>]){''.join(conditions)}{_INSIDE}>"
 
 
 def first_element(html: Column, tag: str, *conditions: str) -> Column:
@@ -66,17 +75,28 @@ def all_elements(html: Column, tag: str, *conditions: str) -> Column:
 def _element(tag: str, *conditions: str) -> str:
     # Up to the closing tag or the end of the page, in possessive runs: the matcher moves
     # from "<" to "<" without backtracking, so long contents cost neither time nor stack.
+    # Elements of the same kind inside are taken whole, with their closing tags.
     head = opening_tag(tag, *conditions).removesuffix(">")
-    return rf"{head}(>[^<]*+(?:<(?!/(?i:{tag})\s*>)[^<]*+)*+)"
+    inner = rf"[^<]*+(?:<(?!/(?i:{tag})\s*>)[^<]*+)*+"
+    plain = rf"[^<]*+(?:<(?!(?i:{tag})[\s>]|/(?i:{tag})\s*>)[^<]*+)*+"
+    for _ in range(NESTING):
+        inner = rf"{plain}(?:<(?i:{tag})(?=[\s>]){_INSIDE}>{inner}(?:</(?i:{tag})\s*>)?+{plain})*+"
+    return rf"{head}(>{inner})"
 
 
 def strip_comments(html: Column) -> Column:
-    return F.when(html.contains("<!--"), F.regexp_replace(html, r"(?s)<!--.*?-->", "")).otherwise(
-        html
-    )
+    """The page without its comments; what looks like one inside a script or style stays."""
+    pattern = r"(?s)(<(?i:script)(?=[\s>]).*?</(?i:script)\s*>|<(?i:style)(?=[\s>]).*?</(?i:style)\s*>)|<!--.*?(?:-->|\z)"
+    return F.when(html.contains("<!--"), F.regexp_replace(html, pattern, "$1")).otherwise(html)
+
+
+def strip_scripts(page: Column) -> Column:
+    """The page without scripts and styles, so that no element is found in them."""
+    pattern = r"(?s)<(?i:script)(?=[\s>]).*?(?:</(?i:script)\s*>|\z)|<(?i:style)(?=[\s>]).*?(?:</(?i:style)\s*>|\z)"
+    return F.regexp_replace(page, pattern, "")
 
 
-_MARKUP = r"(?is)<(script|style)(?=[\s>]).*?(?:</\1\s*>|\z)|</?[a-z!][^>]*>"
+_MARKUP = rf"(?is)<(script|style)(?=[\s>]).*?(?:</\1\s*>|\z)|</?[a-z!]{_INSIDE}>"
 
 
 def source_of(element: Column) -> Column:
@@ -144,9 +164,26 @@ def listing_year(element: Column) -> Column:
     return strip_ws(encoded_text(element)).try_cast("int")
 
 
+# Other spellings of a date and time that pages use; a day of the week before it and a zone after it
+# are cut off first.
+_DATE_FORMATS = [
+    "MM/dd/yyyy HH:mm[:ss]", "MM/dd/yyyy", "MMM d, yyyy h:mm[:ss] a", "MMM d, yyyy HH:mm[:ss]", "MMM d, yyyy",
+    "d MMM yyyy HH:mm[:ss]", "d MMM yyyy", "MMMM d, yyyy", "MMMM d, yyyy h:mm[:ss] a", "yyyy/MM/dd HH:mm[:ss]", "yyyy/MM/dd",
+]
+
+
 def time_posted(tag: Column) -> Column:
-    """Posting time as written on the page: the zone offset is dropped, not applied."""
-    return attribute_source(tag, "datetime").try_cast("timestamp_ntz").cast("timestamp")
+    """Posting time as written on the page: the zone offset is dropped, not applied.
+
+    The wall clock is taken for UTC, whatever the session's zone.
+    """
+    text = F.trim(attribute_source(tag, "datetime"))
+    iso = F.regexp_extract(text, r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?))?", 0)
+    clock = F.concat(F.replace(iso, F.lit("T"), F.lit(" ")), F.when(F.length(iso) == 10, F.lit(" 00:00")).otherwise(F.lit("")), F.lit("Z"))
+    bare = F.regexp_replace(text, r"^[A-Za-z]+,?\s+(?=\d)|\s*(?:[+-]\d{2}:?\d{2}|Z|GMT|UTC|[ECMP][SD]T)$", "")
+    other = F.coalesce(*[F.try_to_timestamp(bare, F.lit(f)) for f in _DATE_FORMATS])
+    wall = F.concat(F.date_format(other, "yyyy-MM-dd HH:mm:ss"), F.lit("Z"))
+    return F.when(iso != "", clock).when(text != "", wall).try_cast("timestamp")
 
 
 def num_images(element: Column) -> Column:
@@ -209,6 +246,14 @@ def repair_odometer(text: Column) -> Column:
 # --- structured data; ``doc`` is the JSON-LD text ------------------------------------------
 
 
+def jsonld_fields(doc: Column) -> Column:
+    """The document read once, as far as listings need it; NULL where it cannot be read."""
+    geo = "geo: struct<latitude: string, longitude: string>"
+    return F.from_json(
+        doc, f"offers struct<price: string, availableAtOrFrom: struct<{geo}>>", {"mode": "PERMISSIVE"}
+    )
+
+
 def jsonld_price(doc: Column) -> Column:
     return number(F.get_json_object(doc, "$.offers.price"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,11 +23,15 @@ MAKE_CORRECTIONS = [
 MODEL_CORRECTIONS = [("oddysey", "odyssey")]
 
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-_ENTITY = r"&(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);"
+# Names that HTML reads without a closing semicolon, longest first.
+_BARE_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+_ENTITY = rf"&(#[xX][0-9a-fA-F]+;?|#[0-9]+;?|[A-Za-z][A-Za-z0-9]*;|(?:{'|'.join(_BARE_NAMES)}))"
 _ENTITY_SPLIT = _ENTITY.replace("(", "(?:", 1)
 # References replaced without cutting the text.  They yield no "&", so no new references.
 _COMMON = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'")]
 _UNCOMMON = rf"&(?!(?:amp;|{'|'.join(ref[1:] for ref, _ in _COMMON)})){_ENTITY_SPLIT[1:]}"
+# What numbers 128 to 159 stand for: that block of Windows-1252.
+_WINDOWS = [bytes([n]).decode("cp1252", "replace") for n in range(128, 160)]
 _SPACES = "".join(chr(p) for p in range(0x3001) if chr(p).isspace())
 
 
@@ -36,10 +40,6 @@ def strip_ws(text: Column) -> Column:
     return F.btrim(text, F.lit(_SPACES))
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
-
-
 def number(text: Column) -> Column:
     """Plain decimal text as a double, anything else NULL (never an error)."""
     return F.regexp_extract(text, _NUMBER, 0).try_cast("double")
@@ -71,8 +71,8 @@ def _character(code_point: Column) -> Column:
 
 
 def _named_entities() -> Column:
-    known = {**name2codepoint, "apos": 39}
-    table = ",".join(f"{name}:{code}" for name, code in sorted(known.items()))
+    """All names of HTML 5, with their characters as hexadecimal UTF-8."""
+    table = ",".join(f"{name}:{chars.encode().hex()}" for name, chars in sorted(html5.items()))
     return F.str_to_map(F.lit(table), F.lit(","), F.lit(":"))
 
 
@@ -93,26 +93,33 @@ def decode_entities(text: Column) -> Column:
     )
 
 
+def _number_character(ref: Column, base: int) -> Column:
+    """The character of a numeric reference; the reference as written where there is none."""
+    digits = F.regexp_extract(ref, "^#[xX]?([^;]+)", 1)
+    short = F.regexp_replace(digits, "^0+", "")
+    code = F.when(
+        (short != "") & (F.length(short) <= 8), F.conv(short, base, 10).try_cast("bigint")
+    )
+    return (
+        F.when(code.between(128, 159), F.try_element_at(F.array(*map(F.lit, _WINDOWS)), (code - 127).cast("int")))
+        .when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), _character(code))
+        .otherwise(F.concat(F.lit("&"), ref))
+    )
+
+
 def _decode_any(text: Column) -> Column:
-    """Any numeric reference and the named ones of HTML 4; unknown names stay as written."""
+    """References by number or by any name of HTML 5; unknown names stay as written."""
     names = _named_entities()
-    codes = F.transform(
-        F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(1)),
-        lambda ref: F.struct(
-            ref.alias("ref"),
-            F.when(ref == "amp", F.lit(38).cast("bigint"))
-            .when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 8), 16, 10).try_cast("bigint"))
-            .when(ref.startswith("#"), F.substring(ref, 2, 8).try_cast("bigint"))
-            .otherwise(F.try_element_at(names, ref).cast("bigint"))
-            .alias("code"),
-        ),
-    )
+    refs = F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(1))
     decoded = F.transform(
-        codes,
-        lambda c: F.when(
-            c["code"].between(1, 0xD7FF) | c["code"].between(0xE000, 0x10FFFF),
-            _character(c["code"]),
-        ).otherwise(F.concat(F.lit("&"), c["ref"], F.lit(";"))),
+        refs,
+        lambda ref: F.when(ref.rlike("^#[xX]"), _number_character(ref, 16))
+        .when(ref.startswith("#"), _number_character(ref, 10))
+        .otherwise(
+            F.coalesce(
+                F.decode(F.unhex(F.try_element_at(names, ref)), "UTF-8"), F.concat(F.lit("&"), ref)
+            )
+        ),
     )
     pieces = F.zip_with(
         F.concat(F.array(F.lit("")), decoded),

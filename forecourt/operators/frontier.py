@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from forecourt.functions import html as H
 from forecourt.functions.text import decode_entities
 from forecourt.functions.urls import location_from_url
-from forecourt.session import days, instant, staged
+from forecourt.session import days, instant
 
+# Class names that the pages use.
 LISTING_LINK_CLASS = "posting-title"
 SITE_LIST_CLASS = "geo-site-list-container"
 
@@ -24,7 +25,7 @@ SITE_LIST_CLASS = "geo-site-list-container"
 def hrefs(page: Column, css_class: str | None = None) -> Column:
     """Decoded ``href`` of every anchor that has one, in page order."""
     conditions = [H.by_class(css_class)] if css_class else []
-    has_href = r"(?=[^>]*\s(?i:href)\s*=)"
+    has_href = H.has_attribute("href")
     tags = F.regexp_extract_all(page, F.lit(H.opening_tag("a", *conditions, has_href)), F.lit(0))
     return F.transform(
         F.transform(tags, lambda tag: H.attribute_source(tag, "href")), decode_entities
@@ -43,7 +44,7 @@ def listing_links(
         result_pages.select(
             "location",
             "page_no",
-            F.posexplode(hrefs(H.strip_comments(F.col("html")), css_class)).alias("pos", "url"),
+            F.posexplode(hrefs(H.strip_scripts(H.strip_comments(F.col("html"))), css_class)).alias("pos", "url"),
         )
         .filter(F.col("url").contains(F.col("location")))
     )
@@ -55,7 +56,7 @@ def site_directory(directory_pages: DataFrame) -> DataFrame:
     In: ``page_no, html``.  If a location is listed repeatedly, the last one holds.
     """
     block = H.first_element(
-        H.strip_comments(F.col("html")), "div", H.by_class(SITE_LIST_CLASS)
+        H.strip_scripts(H.strip_comments(F.col("html"))), "div", H.by_class(SITE_LIST_CLASS)
     )
     anchors = directory_pages.select(
         "page_no", F.posexplode(hrefs(block)).alias("pos", "url")
@@ -72,10 +73,10 @@ def crawl_new_links(result_pages: DataFrame, links: DataFrame | None = None) ->
 
     A site's pages are read in ``page_no`` order up to the first that has no link, or only
     links seen on its earlier pages.  Out: ``location, page_no, pos, url`` of pages read.
-    ``links`` passes in links already extracted; otherwise they are extracted and staged.
+    ``links`` passes in links already extracted.
     """
     if links is None:
-        links = staged(listing_links(result_pages))
+        links = listing_links(result_pages)
     first_seen = links.groupBy("location", "url").agg(F.min("page_no").alias("page_no"))
     productive = first_seen.select("location", "page_no").distinct()
     stops = (
@@ -86,7 +87,7 @@ def crawl_new_links(result_pages: DataFrame, links: DataFrame | None = None) ->
         .agg(F.min("page_no").alias("stop_page"))
     )
     return (
-        links.join(staged(stops), "location", "left")
+        links.join(stops, "location", "left")
         .filter(F.col("stop_page").isNull() | (F.col("page_no") < F.col("stop_page")))
         .drop("stop_page")
     )
@@ -130,14 +131,12 @@ def frontier_cleanup(frontier: DataFrame, raw: DataFrame) -> DataFrame:
     return not_harvested(frontier, raw)
 
 
-def harvest_batch(frontier: DataFrame, raw: DataFrame, limit: int = 130) -> DataFrame:
-    """The next URLs to fetch, oldest first; equal ages are ordered by URL."""
-    return (
-        not_harvested(frontier, raw)
-        .orderBy("row_created", "url", "location")
-        .limit(limit)
-        .select("url", "location")
-    )
+def harvest_batch(frontier: DataFrame, raw: DataFrame, limit: int | None = 130) -> DataFrame:
+    """The next URLs to fetch: the ``limit`` oldest (equal ages by URL), or all with None."""
+    left = not_harvested(frontier, raw)
+    if limit is not None:
+        left = left.orderBy("row_created", "url", "location").limit(limit)
+    return left.select("url", "location")
 
 
 def parse_backlog(raw: DataFrame, processed: DataFrame, latest_only: bool = True) -> DataFrame:
@@ -160,10 +159,28 @@ def parse_backlog(raw: DataFrame, processed: DataFrame, latest_only: bool = True
     return flagged.union(fresh).distinct()
 
 
-def parse_batch(backlog: DataFrame, limit: int = 2500, seed: int = 20230806) -> DataFrame:
-    """A repeatable random choice of at most ``limit`` URLs, whatever the partitioning."""
+def parse_batch(backlog: DataFrame, limit: int | None = 2500, seed: int = 41) -> DataFrame:
+    """A repeatable random choice of ``limit`` URLs, whatever the partitioning; None: all."""
+    urls = backlog.select("url")
+    if limit is None:
+        return urls
     draw = F.md5(F.concat(F.lit(str(seed)), F.col("url")))
-    return backlog.select("url").orderBy(draw, "url").limit(limit)
+    return urls.orderBy(draw, "url").limit(limit)
+
+
+def latest_listings(listings: DataFrame) -> DataFrame:
+    """Of each URL the rows of its most recent parse; the table keeps every parse ever made.
+
+    The latest time per URL is a narrow aggregate, joined back on URL and time.  Rows that were
+    written twice by one parse count once.
+    """
+    last = listings.groupBy("url").agg(F.max("basic_processed_time").alias("_last"))
+    met = listings.alias("l").join(
+        last.withColumnRenamed("url", "_url"),
+        F.col("l.url").eqNullSafe(F.col("_url"))
+        & F.col("l.basic_processed_time").eqNullSafe(F.col("_last")),
+    )
+    return met.select("l.*").dropDuplicates(["url"])
 
 
 def pages_to_parse(raw: DataFrame, batch: DataFrame) -> DataFrame:

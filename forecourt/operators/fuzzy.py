@@ -1,42 +1,64 @@
 """Fuzzy join: the best dictionary entries for each text, without comparing all pairs.
 
-Candidates rest on a pigeonhole argument that holds for all four scorers.  If a text of
-length n scores at least c with another, at most ``k = (1 - c) / c * n`` edits separate
-the parts compared, and each edit can spoil one of ``k + 1`` disjoint stretches inside the
-text's words; so at least one stretch stands unchanged inside a word of the other.  Each
-side therefore offers its ``k + 1`` stretches to the short runs of characters of the other
-in an equi-join, and every pair that could qualify meets.  Which stretches to offer is
-free: the ones rarest on the other side are taken, so common words propose few pairs.
+Candidates rest on a pigeonhole argument, made once for two readings of a text.  Take the
+reading S that a scorer compares: all words (``ratio``, ``partial_ratio``, ``token_sort_ratio``)
+or each distinct word once (``token_set_ratio``).  If the shorter of two compared texts of length
+n scores at least c, at most ``k = (1 - c) / c * n`` edits separate it from what it is compared
+with; an edit can spoil one of ``k + 1`` disjoint stretches inside its words, so one of them stands
+unchanged inside a word of the other.  In ``token_set_ratio`` the texts compared are the shared
+words with or without either side's own; if there is a shared word at all, each of its
+stretches stands on both sides, and if there is none, the own words are compared as above.
+
+So each side offers, for either reading, its ``k + 1`` disjoint stretches to the runs of
+characters inside the words of the other in an equi-join.  A stretch that is offered several
+times counts once for each place in the first reading, since an edit spoils one place only;
+the filter keeps distinct pieces until the places they cover reach ``k + 1``, the rarest on the
+other side first.
+
+Low cutoffs ask for more stretches than a text has letters.  A pair that scores above zero still
+shares one character, so all letters are offered then, and the blank between words; that is
+complete, and as broad as such a cutoff is.  ``block_on`` is the normal way to keep joins small.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt.functions.similarity import SCORERS, normalise, similarities, words
 
 _SLACK = 1e-9
+#: Runs of characters are no longer than this; shorter stretches only propose more.
+LONGEST = 12
 
 
 def _longest_stretch(cutoff: float) -> int:
-    """``k + 1`` stretches fit into n characters, so none exceeds ``c / (1 - c)``.
+    """``k + 1`` stretches fit into n characters, so none need exceed ``c / (1 - c)``.
 
-    Near a cutoff of 1 that bound grows without need; shorter stretches serve as well.
+    A stretch may always be shorter: any prefix of an unspoilt stretch is unspoilt too.
     """
-    return 16 if cutoff >= 0.94 else math.ceil(cutoff / (1 - cutoff))
+    return max(1, min(LONGEST, math.ceil(cutoff / (1 - cutoff) - _SLACK) if cutoff < 1 else LONGEST))
+
+
+def _readings(text: Column) -> Column:
+    """The words of a text, and each of them once."""
+    every = words(normalise(text))
+    return F.array(every, F.array_distinct(every))
 
 
 def _stretches(texts: DataFrame, text: str, cutoff: float) -> DataFrame:
-    """Disjoint equal-length stretches of each text's words: ``piece, pos, need``.
+    """Disjoint equal-length stretches of each reading: ``reading, piece, places, need``.
 
-    The length is the largest that yields the ``need`` stretches asked for.
+    The length is the largest that yields the ``need`` stretches asked for, one character if none does.
     """
-    norm = normalise(F.col(text))
-    need = F.floor(F.lit((1 - cutoff) / cutoff + _SLACK) * F.length(norm) + _SLACK) + 1
-    base = texts.withColumns({"_words": words(norm), "need": need}).filter(F.size("_words") > 0)
+    base = (
+        texts.select("*", F.posexplode(_readings(F.col(text))).alias("reading", "_words"))
+        .filter(F.size("_words") > 0)
+        .withColumn("_length", F.length(F.array_join("_words", " ")))
+        .withColumn("need", F.floor(F.lit((1 - cutoff) / cutoff + _SLACK) * F.col("_length") + _SLACK) + 1)
+    )
     longest = F.least(
         F.array_max(F.transform("_words", F.length)), F.lit(_longest_stretch(cutoff))
     )
@@ -47,8 +69,9 @@ def _stretches(texts: DataFrame, text: str, cutoff: float) -> DataFrame:
         )
         >= F.col("need"),
     )
-    sized = base.withColumn("_g", F.try_element_at(enough, F.lit(1)))
-    pieces = F.flatten(
+    sized = base.withColumn("_g", F.coalesce(F.try_element_at(enough, F.lit(1)), F.lit(1)))
+    blanks = F.when(F.try_element_at(enough, F.lit(1)).isNull(), F.size("_words") - 1).otherwise(0)
+    letters = F.flatten(
         F.transform(
             F.filter("_words", lambda w: F.length(w) >= F.col("_g")),
             lambda w: F.transform(
@@ -57,17 +80,25 @@ def _stretches(texts: DataFrame, text: str, cutoff: float) -> DataFrame:
             ),
         )
     )
-    return sized.select(
-        *texts.columns, "need", F.posexplode(pieces).alias("pos", "piece")
+    keys = [*texts.columns, "reading", "need"]
+    pieces = F.concat(letters, F.array_repeat(F.lit(" "), blanks))
+    return (
+        sized.select(*keys, F.explode(pieces).alias("piece"))
+        .groupBy(*keys, "piece").agg(F.count("*").alias("places"))
     )
 
 
 def _runs(texts: DataFrame, text: str, cutoff: float) -> DataFrame:
     """Distinct runs of characters inside the words of each text, as long as stretches get."""
     limit = _longest_stretch(cutoff)
+    own = F.array_distinct(words(normalise(F.col(text))))
+    # Above two thirds, letters alone are as many as the stretches asked for.
+    blank = F.when(
+        F.lit(cutoff <= 2 / 3) & normalise(F.col(text)).contains(" "), F.array(F.lit(" "))
+    ).otherwise(F.array().cast("array<string>"))
     runs = F.flatten(
         F.transform(
-            words(normalise(F.col(text))),
+            own,
             lambda w: F.flatten(
                 F.transform(
                     F.sequence(F.lit(1), F.length(w)),
@@ -79,7 +110,9 @@ def _runs(texts: DataFrame, text: str, cutoff: float) -> DataFrame:
             ),
         )
     )
-    return texts.select(*texts.columns, F.explode(F.array_distinct(runs)).alias("piece"))
+    return texts.select(
+        *texts.columns, F.explode(F.array_distinct(F.concat(runs, blank))).alias("piece")
+    )
 
 
 def _proposals(offering: DataFrame, text: str, other: DataFrame, other_text: str,
@@ -88,11 +121,15 @@ def _proposals(offering: DataFrame, text: str, other: DataFrame, other_text: str
     runs = _runs(other, other_text, cutoff)
     stretches = _stretches(offering, text, cutoff)
     spread = runs.groupBy(*on, "piece").agg(F.count("*").alias("freq"))
-    rarest = Window.partitionBy(*on, text).orderBy(F.coalesce("freq", F.lit(0)), "pos")
+    rarest = (
+        Window.partitionBy(*on, text, "reading")
+        .orderBy(F.coalesce("freq", F.lit(0)), "piece")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     chosen = (
         stretches.join(spread, [*on, "piece"], "left")
-        .withColumn("_rank", F.row_number().over(rarest))
-        .filter((F.col("_rank") <= F.col("need")) & F.col("freq").isNotNull())
+        .withColumn("_before", F.coalesce(F.sum("places").over(rarest), F.lit(0)))
+        .filter((F.col("_before") < F.col("need")) & F.col("freq").isNotNull())
         .select(*on, text, "piece")
         .distinct()
     )
@@ -119,8 +156,8 @@ def fuzzy_match(
     order), and all of them are returned once.  ``block_on`` names columns of both sides
     that must agree, such as the make.
     """
-    if not 2 / 3 <= cutoff <= 1:
-        raise ValueError("cutoff must lie between 2/3 and 1")
+    if not 0 < cutoff <= 1:
+        raise ValueError("cutoff must be above 0 and at most 1")
     on = block_on or []
     inputs = inputs.select(*on, "input").distinct()
     targets = targets.select(*on, "target").distinct()

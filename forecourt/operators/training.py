@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt.functions.pricing import FIT_LOG_OFFSET, condition_flag, log_odometer
-from forecourt.session import days, instant, staged
+from forecourt.session import days, instant
 
+#: Exact while a group has no more distinct prices than this.
 QUANTILE_ACCURACY = 10_000
 _REQUIRED = ["make", "model", "year", "odometer", "price", "condition"]
 
@@ -49,22 +50,25 @@ def valid_make_models(filtered: DataFrame, min_group: int = 100) -> DataFrame:
 
 def valid_rows(filtered: DataFrame, min_group: int = 100) -> DataFrame:
     """Listings of the makes and models with enough of them."""
-    valid = staged(valid_make_models(filtered, min_group))
+    valid = valid_make_models(filtered, min_group)
     return filtered.join(valid.select("make", "model"), ["make", "model"], "left_semi")
 
 
-def _quantiles(lo: float, hi: float) -> list:
-    cut = F.percentile_approx("price", [lo, hi], QUANTILE_ACCURACY)
+def _quantiles(lo: float, hi: float, accuracy: int) -> list:
+    cut = F.percentile_approx("price", [lo, hi], accuracy)
     return [cut[0].alias("low_quantile"), cut[1].alias("high_quantile")]
 
 
-def price_quantiles(rows: DataFrame, lo: float = 0.05, hi: float = 0.95) -> DataFrame:
+def price_quantiles(
+    rows: DataFrame, lo: float = 0.05, hi: float = 0.95, accuracy: int = QUANTILE_ACCURACY
+) -> DataFrame:
     """Low and high price quantile of each make, model and year."""
-    return rows.groupBy("make", "model", "year").agg(*_quantiles(lo, hi))
+    return rows.groupBy("make", "model", "year").agg(*_quantiles(lo, hi, accuracy))
 
 
 def price_bounds(
-    filtered: DataFrame, min_group: int = 100, lo: float = 0.05, hi: float = 0.95
+    filtered: DataFrame, min_group: int = 100, lo: float = 0.05, hi: float = 0.95,
+    accuracy: int = QUANTILE_ACCURACY,
 ) -> DataFrame:
     """Price quantiles of the groups big enough to fit, in a single pass over the listings.
 
@@ -72,7 +76,7 @@ def price_bounds(
     that window sees one row per year, not the listings.
     """
     years = filtered.groupBy("make", "model", "year").agg(
-        F.count("*").alias("n"), *_quantiles(lo, hi)
+        F.count("*").alias("n"), *_quantiles(lo, hi, accuracy)
     )
     size = F.sum("n").over(Window.partitionBy("make", "model"))
     return years.withColumn("n", size).filter(F.col("n") >= min_group).drop("n")
@@ -97,7 +101,8 @@ def fit_set(
     min_group: int = 100,
     lo: float = 0.05,
     hi: float = 0.95,
+    accuracy: int = QUANTILE_ACCURACY,
 ) -> DataFrame:
     """The training set.  Group size is tested before outliers are trimmed."""
     filtered = fit_filtered(listings, as_of, lookback_days)
-    return trim_outliers(filtered, staged(price_bounds(filtered, min_group, lo, hi)))
+    return trim_outliers(filtered, price_bounds(filtered, min_group, lo, hi, accuracy))

@@ -16,7 +16,6 @@ from forecourt.functions.text import correct_make, correct_model
 from forecourt.functions.urls import location_from_url, post_id
 from forecourt.operators import extract, frontier, fuzzy, regression, scoring, standardize, training
 
-from forecourt.session import staged
 from forecourt.sources import sample
 
 AS_OF = sample.AS_OF
@@ -59,9 +58,9 @@ def _field(spark, sf_dir, name: str, find, read) -> DataFrame:
 _FRONTIER = """SELECT url, location, time_posted AS row_created FROM listings
 WHERE l_linestatus = 'O' OR l_returnflag = 'N'"""
 _RAW = "SELECT url, l_shipdate AS datetime_pulled, location FROM listings WHERE l_linestatus = 'F'"
-_RESULT_LINKS = """SELECT location, l_orderkey * 8 + l_linenumber AS page_no,
-  concat('https://', location, '.example.org/cto/d/', l_partkey, '.html?a=1&b=2') AS url
-FROM listings"""
+_RESULT_LINKS = """SELECT location, l_orderkey * 8 + l_linenumber AS page_no, pos,
+  concat('https://', location, '.example.org/cto/d/', l_partkey + pos // 2, '.html?a=1&b=2') AS url
+FROM listings, (VALUES (0), (2)) AS places(pos)"""
 _RECENT = """SELECT url FROM raw WHERE datetime_pulled > TIMESTAMP '2001-07-02 00:00:00'
 UNION SELECT url FROM frontier"""
 _PROCESSED = """SELECT url, true AS flag, l_shipdate AS parsed FROM listings
@@ -80,7 +79,7 @@ def url_location(spark, sf_dir):
     )
 
 
-@query(_with("SELECT location, page_no, 0 AS pos, url FROM links", links=_RESULT_LINKS))
+@query(_with("SELECT location, page_no, pos, url FROM links", links=_RESULT_LINKS))
 def listing_links(spark, sf_dir):
     return frontier.listing_links(sample.result_pages(spark, sf_dir))
 
@@ -109,7 +108,7 @@ def site_directory(spark, sf_dir):
 
 @query(
     _with(
-        """SELECT location, page_no, 0 AS pos, url FROM seen
+        """SELECT location, page_no, pos, url FROM seen
 WHERE page_no < coalesce((SELECT min(s.page_no) FROM stale s WHERE s.location = seen.location),
   9223372036854775807)""",
         links=_RESULT_LINKS,
@@ -183,7 +182,7 @@ def parse_backlog(spark, sf_dir):
 
 @query(
     _with(
-        f"""SELECT url FROM ({_BACKLOG}) ORDER BY md5(concat('20230806', url)), url LIMIT 2500""",
+        f"""SELECT url FROM ({_BACKLOG}) ORDER BY md5(concat('41', url)), url LIMIT 2500""",
         raw=_RAW,
         processed=_PROCESSED,
     )
@@ -192,6 +191,37 @@ def parse_batch(spark, sf_dir):
     return frontier.parse_batch(parse_backlog(spark, sf_dir))
 
 
+@query(
+    _with(
+        f"""SELECT url, location, datetime_pulled FROM raw WHERE url IN (
+  SELECT url FROM ({_BACKLOG}) ORDER BY md5(concat('41', url)), url LIMIT 2500)""",
+        raw=_RAW,
+        processed=_PROCESSED,
+    )
+)
+def pages_to_parse(spark, sf_dir):
+    return frontier.pages_to_parse(
+        sample.raw_keys(spark, sf_dir), parse_batch(spark, sf_dir)
+    ).select("url", "location", "datetime_pulled")
+
+
+@query(
+    _with(
+        """SELECT url, needs_basic_parsing, price FROM (
+  SELECT url, l_returnflag <> 'R' AS needs_basic_parsing,
+    CASE WHEN l_returnflag = 'R' THEN price * 2 ELSE price END AS price
+  FROM listings WHERE l_linestatus = 'F' AND l_returnflag <> 'N')"""
+    )
+)
+def latest_listings(spark, sf_dir):
+    """Of listings that were parsed again, the later parse, which read twice the price."""
+    prices = sample.listings(spark, sf_dir).select("url", "price")
+    parses = sample.processed_state(spark, sf_dir).join(prices, "url").withColumn(
+        "price", F.when(c("needs_basic_parsing"), c("price")).otherwise(c("price") * 2)
+    )
+    return frontier.latest_listings(parses).select("url", "needs_basic_parsing", "price")
+
+
 # --- extraction -----------------------------------------------------------------------------
 
 _ODOMETER_TEXT = """CAST(CASE WHEN l_linenumber % 5 = 0 THEN odometer / 1000 ELSE odometer END
@@ -206,6 +236,10 @@ _ODOMETER_TEXT = """CAST(CASE WHEN l_linenumber % 5 = 0 THEN odometer / 1000 ELS
   UNION ALL SELECT url, 'title status', title FROM listings
   UNION ALL SELECT url, 'paint color', l_linestatus FROM listings
   UNION ALL SELECT url, 'fuel', 'gas' FROM listings
+  UNION ALL SELECT url, 'drive', drive FROM listings
+  UNION ALL SELECT url, 'cylinders', cylinders FROM listings
+  UNION ALL SELECT url, 'type', type FROM listings
+  UNION ALL SELECT url, 'VIN', vin FROM listings
   UNION ALL SELECT url, 'transmission', 'automatic' FROM listings)
 WHERE value IS NOT NULL"""
     )
@@ -287,7 +321,7 @@ def jsonld_geo(spark, sf_dir):
 
 
 @query(
-    _with("SELECT url, concat(title_text, '>>>', name, ' in good order') AS description FROM listings")
+    _with("SELECT url, concat(title_text, '>>>', name, ' in good order <!-- really') AS description FROM listings")
 )
 def jsonld_description(spark, sf_dir):
     return _field(
@@ -324,14 +358,11 @@ def parse_flags(spark, sf_dir):
     return extract.parse_flags(rows, AS_OF).drop("make", "model", "price")
 
 
-_NO_TEXT = "CAST(NULL AS VARCHAR)"
-
-
 @query(
     _with(
-        f"""SELECT url, location, odometer, title, l_linestatus AS paint, {_NO_TEXT} AS drive,
-  {_NO_TEXT} AS cylinders, condition, 'gas' AS fuel, {_NO_TEXT} AS type,
-  'automatic' AS transmission, {_NO_TEXT} AS vin, name,
+        f"""SELECT url, location, odometer, title, l_linestatus AS paint, drive,
+  cylinders, condition, 'gas' AS fuel, type,
+  'automatic' AS transmission, vin, name,
   concat(l_orderkey, '-', l_linenumber, '-', CAST(round(price * 100) AS BIGINT)) AS post_id,
   time_posted, year, price, {_BODY} AS posting_body_text, title_text,
   l_linenumber AS num_images, {_GEO}, make, model, {_FLAGS.format(needs='false')}
@@ -343,15 +374,76 @@ def parse_listings(spark, sf_dir):
     return extract.parse_listings(raw, sample.dictionary(spark, sf_dir), AS_OF)
 
 
+_SPARSE = """SELECT url, condition, CASE WHEN l_orderkey % 7 = 0 THEN 'unlisted vehicle'
+    WHEN l_orderkey % 11 <> 0 THEN name END AS name,
+  CASE WHEN l_orderkey % 7 <> 0 THEN make END AS make,
+  CASE WHEN l_orderkey % 7 <> 0 THEN model END AS model,
+  CASE WHEN l_orderkey % 13 <> 0 THEN price END AS price,
+  CASE WHEN l_orderkey % 17 <> 0 THEN year END AS year,
+  CASE WHEN l_orderkey % 19 <> 0 THEN odometer END AS odometer,
+  CASE WHEN l_orderkey % 23 <> 0 THEN time_posted END AS time_posted FROM listings"""
+_SPARSE_FIELDS = ["name", "make", "model", "year", "odometer", "price", "condition", "time_posted"]
+
+
+def _sparse(spark, sf_dir) -> DataFrame:
+    pages, words = sample.sparse_pages(spark, sf_dir), sample.dictionary(spark, sf_dir)
+    return extract.parse_listings(pages, words, AS_OF)
+
+
 @query(
     _with(
-        """SELECT count(*) AS listings, count(*) FILTER (WHERE condition IS NULL) AS no_condition,
-  0 AS no_name, 0 AS no_make, 0 AS no_model, 0 AS no_year, 0 AS no_odometer, 0 AS no_price,
-  0 AS no_time_posted FROM listings"""
+        f"""SELECT url, coalesce(name, '') AS name, CASE WHEN name IS NOT NULL THEN make END AS make,
+  CASE WHEN name IS NOT NULL THEN model END AS model, year, odometer, price, condition, time_posted,
+  make IS NULL OR model IS NULL OR price IS NULL AS needs_ai_parsing FROM sparse""",
+        sparse=_SPARSE,
+    )
+)
+def parse_sparse_pages(spark, sf_dir):
+    """Pages that lack a field each: the field is empty, the row and its other fields stay.
+
+    Make and model are compared where they come from the name; titles name parts besides.
+    """
+    rows = _sparse(spark, sf_dir).select("url", *_SPARSE_FIELDS, "needs_ai_parsing")
+    named = {k: F.when(c("name") != "", c(k)) for k in ("make", "model")}
+    return rows.withColumns({**named, "name": F.coalesce("name", F.lit(""))})
+
+
+@query(
+    _with(
+        "SELECT count(*) AS listings, "
+        + ", ".join(f"count(*) FILTER (WHERE {f} IS NULL) AS no_{f}" for f in _SPARSE_FIELDS)
+        + " FROM sparse",
+        sparse=_SPARSE,
     )
 )
 def parse_quality(spark, sf_dir):
-    return extract.quality_counts(parse_listings(spark, sf_dir))
+    return extract.quality_counts(
+        _sparse(spark, sf_dir).withColumn("name", F.nullif("name", F.lit("")))
+    )
+
+
+def _between_sql(pattern: str) -> str:
+    text = f"regexp_extract(html, '{pattern}', 1, 's')"
+    for reference, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+        text = f"replace({text}, '{reference}', '{char}')"
+    return text
+
+
+@query(
+    f"""SELECT page_id, {_between_sql('<title>(.*?)</title>')} AS title,
+  {_between_sql('<h1>(.*?)</h1>')} AS heading,
+  {_between_sql('<div class="ad">(?:<p>)?(.*?)(?:</p>)?</div>')} AS advert FROM pages"""
+)
+def page_fields(spark, sf_dir):
+    """Fields of the given web pages."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    found = pages.select("page_id", H.strip_comments(c("html")).alias("page")).select(
+        "page_id",
+        H.first_element(c("page"), "title").alias("title"),
+        H.first_element(c("page"), "h1").alias("heading"),
+        H.first_element(c("page"), "div", H.by_class("ad")).alias("advert"),
+    )
+    return found.select("page_id", *[H.text_of(c(f)).alias(f) for f in ("title", "heading", "advert")])
 
 
 # --- standardisation ------------------------------------------------------------------------
@@ -462,6 +554,22 @@ def match_make(spark, sf_dir):
     return standardize.match_make(_texts(spark, sf_dir), sample.dictionary(spark, sf_dir))
 
 
+@query(
+    _with(
+        """SELECT url, name, title_text, make FROM unique_texts LEFT JOIN found USING (url)""",
+        pairs=_PAIRS,
+        unique_texts="""SELECT url, name, concat(title_text, ' ', url) AS title_text
+FROM (SELECT url, CASE WHEN condition IS NULL THEN NULL WHEN condition = 'other'
+    THEN 'see title' ELSE name END AS name, title_text FROM listings)""",
+        found=_found_sql(_MAKE_HITS.replace("FROM texts t", "FROM unique_texts t"), "make"),
+    )
+)
+def match_make_unique(spark, sf_dir):
+    """Titles that are all different, as real ones are."""
+    texts = _texts(spark, sf_dir).withColumn("title_text", F.concat_ws(" ", "title_text", "url"))
+    return standardize.match_make(texts, sample.dictionary(spark, sf_dir))
+
+
 @query(
     _with(
         "SELECT texts.*, model FROM texts LEFT JOIN found USING (url)",
@@ -487,6 +595,8 @@ _FUZZY_INPUTS = """SELECT DISTINCT input FROM (
   UNION ALL SELECT concat(split_part(p_name, ' ', 2), ' ', split_part(p_name, ' ', 1)) FROM part
   UNION ALL SELECT concat(lower(p_brand), ' ', replace(p_name, 'e', 'a'), '!') FROM part
   UNION ALL SELECT concat(lower(p_type), ' ', replace(p_name, 'd ', ' ')) FROM part
+  UNION ALL SELECT concat(p_name, ' ', p_name, ' u u u') FROM part
+  UNION ALL SELECT substr(p_name, 1, 2) FROM part
   UNION ALL SELECT p_name FROM part)"""
 _FUZZY_TARGETS = """SELECT p_name AS target FROM part
 UNION SELECT concat(lower(p_type), ' ', p_name) FROM part"""
@@ -541,6 +651,8 @@ def fuzzy_match(spark, sf_dir):
                  F.split_part(name, F.lit(" "), F.lit(1))),
         F.concat(F.lower("p_brand"), F.lit(" "), swap(name, "e", "a"), F.lit("!")),
         F.concat(F.lower("p_type"), F.lit(" "), swap(name, "d ", " ")),
+        F.concat(name, F.lit(" "), name, F.lit(" u u u")),
+        F.substring(name, 1, 2),
         name,
     )
     listed = F.array(name, F.concat(F.lower("p_type"), F.lit(" "), name))
@@ -579,6 +691,12 @@ def _rounded_fit(df: DataFrame) -> DataFrame:
     return df.withColumn("log_odometer", F.round("log_odometer", 9))
 
 
+@query(_with(_ROUNDED_FIT + "filtered", filtered=_FILTERED.replace("3650", "180")))
+def fit_filtered_recent(spark, sf_dir):
+    """The default half year, which leaves most rows out."""
+    return _rounded_fit(training.fit_filtered(sample.listings(spark, sf_dir), AS_OF))
+
+
 def _filtered(spark, sf_dir) -> DataFrame:
     return training.fit_filtered(sample.listings(spark, sf_dir), AS_OF, LOOKBACK)
 
@@ -608,7 +726,7 @@ def price_quantiles(spark, sf_dir):
 @query(_with(_ROUNDED_FIT + "fit", **_trim_ctes(0)))
 def fit_trimmed(spark, sf_dir):
     rows = _filtered(spark, sf_dir)
-    return _rounded_fit(training.trim_outliers(rows, staged(training.price_quantiles(rows))))
+    return _rounded_fit(training.trim_outliers(rows, training.price_quantiles(rows)))
 
 
 @query(_with(_ROUNDED_FIT + "fit", **_trim_ctes(MIN_GROUP)))
@@ -649,8 +767,8 @@ WHERE time_posted >= TIMESTAMP '2001-08-01 00:00:00' - INTERVAL 45 DAY
   AND price < 75000 AND price > 250 AND odometer < 300000 AND odometer > 0
   AND year >= 2001 - 50 AND year <= 2001 + 1"""
 _SCORED = f"""SELECT url, state, location, time_posted, name, make, model, year, odometer, title,
-  l_linestatus AS paint, {_NO_TEXT} AS drive, {_NO_TEXT} AS cylinders, 'gas' AS fuel,
-  {_NO_TEXT} AS type, 'automatic' AS transmission, condition, price, title_text, {_GEO},
+  l_linestatus AS paint, drive, cylinders, 'gas' AS fuel,
+  type, 'automatic' AS transmission, condition, price, title_text, {_GEO},
   intercept + miles_coeff * ln(odometer + 0.1) + condition_coeff *
     CASE WHEN condition IN ('new', 'like new', 'excellent') THEN 1
          WHEN condition IN ('good', 'fair', 'salvage') THEN 0 END
@@ -736,7 +854,7 @@ def predicted_price_formula(spark, sf_dir):
     )
 )
 def listing_predictions(spark, sf_dir):
-    models = staged(_models(spark, sf_dir, BITING_GROUP))
+    models = _models(spark, sf_dir, BITING_GROUP)
     return scoring.with_prediction(sample.listings(spark, sf_dir), models).select(
         "url", "make", "model", F.round("predicted_price", 1).alias("predicted_price"),
         "sample_size",
@@ -751,7 +869,7 @@ def _hot_deals(spark, sf_dir, min_group=MIN_GROUP) -> DataFrame:
     return scoring.hot_deals(
         sample.listings(spark, sf_dir),
         sample.states(spark, sf_dir),
-        staged(_models(spark, sf_dir, min_group)),
+        _models(spark, sf_dir, min_group),
         AS_OF,
     )
 

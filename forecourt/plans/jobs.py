@@ -10,12 +10,12 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.operators.extract import extract_fields, parse_flags, parse_listings
+from forecourt.operators.extract import parse_listings
 from forecourt.operators.frontier import (
     crawl_new_links,
     frontier_cleanup,
     harvest_batch,
-    listing_links,
+    latest_listings,
     new_links,
     pages_to_parse,
     parse_backlog,
@@ -24,10 +24,9 @@ from forecourt.operators.frontier import (
 )
 from forecourt.operators.regression import fit_models
 from forecourt.operators.scoring import hot_deals
-from forecourt.operators.standardize import match_make_model
 from forecourt.operators.training import fit_set
 from forecourt.schemas import FRONTIER, HOT_DEALS, LISTINGS, MODELS, RAW_PAGES
-from forecourt.session import instant, staged
+from forecourt.session import instant
 from forecourt.sources.tables import append_table, conform, log_run, overwrite_table, read_table
 
 __all__ = [
@@ -58,29 +57,25 @@ def update_frontier(
         read_table(spark, frontier, ["url"]),
         as_of,
     )
-    links = staged(listing_links(result_pages))
-    fresh = new_links(crawl_new_links(result_pages, links), seen, as_of)
+    fresh = new_links(crawl_new_links(result_pages), seen, as_of)
     n = append_table(conform(fresh, FRONTIER), frontier, bucket_by=bucket_by)
-    _logged(spark, log, "getting_links", started, f"pulled {n} links", host)
+    _logged(spark, log, "update_frontier", started, f"{n} new URLs queued", host)
     return n
 
 
 def harvest_pages(
     spark: SparkSession, fetched: DataFrame, frontier: str, raw: str, as_of,
-    limit: int | None = 130, log: str | None = None, host: str = "",
+    limit: int | None = None, log: str | None = None, host: str = "",
     bucket_by: tuple[str, int] | None = None,
 ) -> int:
-    """Store fetched pages (``url, raw_html``) of the next batch of queued URLs."""
+    """Store fetched pages (``url, raw_html``) of queued URLs: all, or the oldest ``limit``."""
     started = _now()
     queue = read_table(spark, frontier)
     pulled = read_table(spark, raw, ["url"])
-    if limit is None:
-        batch = frontier_cleanup(queue, pulled).select("url", "location")
-    else:
-        batch = harvest_batch(queue, pulled, limit)
+    batch = harvest_batch(queue, pulled, limit)
     pages = fetched.join(batch, "url").withColumn("datetime_pulled", instant(as_of))
     n = append_table(conform(pages, RAW_PAGES), raw, bucket_by=bucket_by)
-    _logged(spark, log, "harvesting_pages", started, f"harvested {n} pages", host)
+    _logged(spark, log, "harvest_pages", started, f"{n} pages stored", host)
     return n
 
 
@@ -95,14 +90,14 @@ def clean_frontier(
 
 def parse_pages(
     spark: SparkSession, raw: str, dictionary: DataFrame, listings: str, as_of,
-    limit: int | None = 2500, log: str | None = None, host: str = "",
+    limit: int | None = None, log: str | None = None, host: str = "",
     bucket_by: tuple[str, int] | None = None,
 ) -> int:
-    """Parse backlog pages into the listings table.
+    """Parse backlog pages into the listings table: all, or a random choice of ``limit``.
 
-    A limited batch is small enough to be broadcast to the page scan.  With ``limit=None``
-    the whole backlog is taken: pages are then parsed where they are scanned and joined
-    with the backlog afterwards, so that page text is never shuffled.
+    The backlog comes from url columns alone and is semi-joined to the pages before anything
+    is read from their text, so the cost of parsing follows the backlog.  Bucket the page
+    table on ``url`` and the join moves no page.
     """
     started = _now()
     pages = read_table(spark, raw)
@@ -110,15 +105,9 @@ def parse_pages(
         spark, listings, ["url", "needs_basic_parsing", "basic_processed_time"], schema=LISTINGS
     )
     backlog = parse_backlog(pages.select("url"), known)
-    if limit is None:
-        fields = staged(extract_fields(pages).join(staged(backlog), "url"))
-        rows = conform(parse_flags(match_make_model(fields, dictionary), as_of), LISTINGS)
-    else:
-        chosen = pages_to_parse(pages, staged(parse_batch(backlog, limit)))
-        rows = parse_listings(chosen, dictionary, as_of)
-    # The backlog reads the listings table, so rows are settled before it is appended to.
-    n = append_table(staged(rows), listings, bucket_by=bucket_by)
-    _logged(spark, log, "basic_html_parsing", started, f"Processed {n} HTML pages", host)
+    chosen = pages_to_parse(pages, parse_batch(backlog, limit))
+    n = append_table(parse_listings(chosen, dictionary, as_of), listings, bucket_by=bucket_by)
+    _logged(spark, log, "parse_pages", started, f"{n} listings written", host)
     return n
 
 
@@ -128,9 +117,9 @@ def fit_price_models(
 ) -> int:
     """Refit every price model and replace the model table."""
     started = _now()
-    training = fit_set(read_table(spark, listings), as_of, **options)
+    training = fit_set(latest_listings(read_table(spark, listings)), as_of, **options)
     n = overwrite_table(fit_models(training, constant_predictor), models, MODELS)
-    _logged(spark, log, "fitting_models", started, f"fitted {n} models", host)
+    _logged(spark, log, "fit_price_models", started, f"{n} models written", host)
     return n
 
 
@@ -141,9 +130,10 @@ def score_deals(
     """Score recent listings and replace the scored table, newest first."""
     started = _now()
     scored = hot_deals(
-        read_table(spark, listings), read_table(spark, states), read_table(spark, models),
+        latest_listings(read_table(spark, listings)), read_table(spark, states),
+        read_table(spark, models),
         as_of, **filters,
     )
     n = overwrite_table(scored, target, HOT_DEALS)
-    _logged(spark, log, "scoring_deals", started, f"scored {n} listings", host)
+    _logged(spark, log, "score_deals", started, f"{n} listings scored", host)
     return n

@@ -22,10 +22,6 @@ RAW_PAGES = _struct(
     url=StringType, datetime_pulled=TimestampType, raw_html=StringType, location=StringType
 )
 
-RESULT_PAGES = _struct(location=StringType, page_no=LongType, html=StringType)
-
-DICTIONARY = _struct(make=StringType, model=StringType, short_model=StringType)
-
 STATES = _struct(region=StringType, state=StringType)
 
 LISTINGS = _struct(
@@ -59,16 +55,6 @@ LISTINGS = _struct(
     ai_processed_time=TimestampType,
 )
 
-FIT_SET = _struct(
-    make=StringType,
-    model=StringType,
-    year=IntegerType,
-    log_odometer=DoubleType,
-    price=DoubleType,
-    condition_mapped=IntegerType,
-    time_posted=TimestampType,
-)
-
 MODELS = _struct(
     make=StringType,
     model=StringType,

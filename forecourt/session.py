@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
@@ -29,36 +27,6 @@ def build_session(app: str = "forecourt", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def staging_folder(spark: SparkSession) -> str | None:
-    """Shared folder for intermediate tables, or None on a cluster that names none.
-
-    It is the one named in ``spark.checkpoint.dir``.  Only a local master, where every
-    task sees the same disk, falls back to a temporary folder.
-    """
-    sc = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not shared and sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="forecourt-"))
-        shared = sc.getCheckpointDir()
-    return shared
-
-
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` written once to a table in the staging folder and read back.
-
-    Used where a result is needed more than once, or is about to be joined with something
-    much bigger: what was computed survives lost executors, and the planner sees its real
-    size, so it broadcasts the side only below its own threshold and otherwise shuffles,
-    with AQE splitting hot keys.  Without a staging folder ``df`` stays lazy.
-    """
-    folder = staging_folder(df.sparkSession)
-    if folder is None:
-        return df
-    path = f"{folder.rstrip('/')}/forecourt-stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def instant(as_of: dt.datetime | dt.date | str, like: DataType | str = "timestamp") -> Column:
     """``as_of`` as a literal of the compared column's own type, so filters push down."""
     if isinstance(as_of, dt.datetime):

@@ -11,8 +11,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.session import staged
-
 AS_OF = dt.datetime(2001, 8, 1)
 
 LISTINGS_SQL = """
@@ -32,6 +30,10 @@ SELECT concat('https://', lower(n_name), '.example.org/cto/d/', replace(p_name,
             WHEN '3-MEDIUM' THEN 'good' WHEN '4-NOT SPECIFIED' THEN 'other' END AS condition,
        CASE l_returnflag WHEN 'A' THEN 'clean' WHEN 'R' THEN 'rebuilt' ELSE 'salvage' END
          AS title,
+       CASE l_linenumber % 3 WHEN 0 THEN '4wd' WHEN 1 THEN 'fwd' END AS drive,
+       concat(4 + 2 * (l_linenumber % 3), ' cylinders') AS cylinders,
+       CASE l_linenumber % 4 WHEN 0 THEN 'SUV' WHEN 1 THEN 'pickup' END AS type,
+       CASE WHEN l_returnflag <> 'R' THEN concat('1V', l_orderkey, 'X', l_linenumber) END AS vin,
        o_orderdate AS time_posted
 FROM lineitem
 JOIN orders ON l_orderkey = o_orderkey
@@ -51,21 +53,13 @@ SELECT DISTINCT p_brand AS make, p_type AS model, substr(p_type, 1, 5) AS short_
 """
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores if they come in fewer files than that.
-
-    The test tables are one file each and would keep one core busy; a stored table of any
-    size has files enough and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     names = ("region", "nation", "customer", "part", "orders", "lineitem")
     frames = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names if n in text}
     if "lineitem" in frames:
-        frames["lineitem"] = _spread(frames["lineitem"])
+        # The test tables are one file each, which would keep one core busy.
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        frames["lineitem"] = frames["lineitem"].repartition(n, "l_orderkey")
     for name in frames:
         text = text.replace(f"FROM {name}", f"FROM {{{name}}}").replace(
             f"JOIN {name}", f"JOIN {{{name}}}"
@@ -73,36 +67,12 @@ def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return spark.sql(text, **frames)
 
 
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A derived table, written once per application and read from then on."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STORED:
-        _STORED[key] = staged(build(spark, sf_dir))
-    return _STORED[key]
-
-
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listings table: its columns, and the keys they derive from."""
-    return _stored(spark, sf_dir, "listings", _derive_listings)
-
-
-def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw-page table: a rendered page for every listing."""
-    return _stored(spark, sf_dir, "raw_pages", lambda s, d: render_pages(listings(s, d)))
-
-
-def _derive_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blank = F.lit(None).cast("string")
     return _sql(spark, sf_dir, LISTINGS_SQL).withColumns(
         {
             "paint": F.col("l_linestatus"),
-            "drive": blank,
-            "cylinders": blank,
             "fuel": F.lit("gas"),
-            "type": blank,
             "transmission": F.lit("automatic"),
             "latitude": F.col("l_linenumber") + F.lit(0.25),
             "longitude": -(F.col("l_linenumber") + F.lit(100.5)),
@@ -110,6 +80,28 @@ def _derive_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sparse_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings of which some lack a field each, or name nothing that the dictionary has."""
+    c = F.col
+    gone = {"name": 11, "price": 13, "year": 17, "odometer": 19, "time_posted": 23}
+    plain = F.lit("unlisted vehicle")
+    return listings(spark, sf_dir).withColumns(
+        {
+            **{k: F.when(c("l_orderkey") % n != 0, c(k)) for k, n in gone.items()},
+            "title_text": F.when(c("l_orderkey") % 7 == 0, plain).otherwise(c("title_text")),
+        }
+    ).withColumn("name", F.when(c("l_orderkey") % 7 == 0, plain).otherwise(c("name")))
+
+
+def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw-page table: a rendered page for every listing."""
+    return render_pages(listings(spark, sf_dir))
+
+
+def sparse_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return render_pages(sparse_listings(spark, sf_dir))
+
+
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, sf_dir, STATES_SQL)
 
@@ -173,7 +165,7 @@ def _attr(label: str, value: Column, odd: Column) -> Column:
     )
     varied = F.concat(
         F.lit(f"<div data-n='1' class='attr auto_x'>\n  <span id=l class=labl> {label}: </span>"),
-        F.lit('\n  <span title="v" class="valu"> <a href="/s">'),
+        F.lit('\n  <div class="tip">a <div>nested</div> tip</div><span title="v > w" class="valu"> <a href="/s">'),
         _escape(value),
         F.lit("</a> </span>\n</div>\n"),
     )
@@ -198,31 +190,44 @@ def render_pages(listings_df: DataFrame) -> DataFrame:
     thousands = c("l_linenumber") % 5 == 0
     miles = F.when(thousands, c("odometer") / 1000).otherwise(c("odometer")).cast("string")
     quote = lambda s: F.concat(F.lit('"'), s, F.lit('"'))
+    or_blank = lambda k: F.coalesce(c(k).cast("string"), F.lit(""))
     doc = F.concat(
         F.lit('{"@type": "Product", "name": '), quote(c("title_text")),
-        F.lit(', "description": '), quote(F.concat(c("name"), F.lit(" in good order"))),
+        F.lit(', "description": '), quote(F.concat(or_blank("name"), F.lit(" in good order <!-- really"))),
         F.lit(', "offers": {"price": '),
-        F.when(odd, c("price").cast("string")).otherwise(quote(c("price").cast("string"))),
+        F.coalesce(
+            F.when(odd, c("price").cast("string")).otherwise(quote(c("price").cast("string"))),
+            F.lit("null"),
+        ),
         F.lit(', "availableAtOrFrom": {"geo": {"latitude": '), c("latitude").cast("string"),
         F.lit(', "longitude": '), c("longitude").cast("string"), F.lit("}}}}"),
     )
-    body = _escape(body_text(c("l_linenumber"), c("name")))
-    body = F.replace(F.replace(body, F.lit("–"), F.lit("&#8211;")), F.lit("\n"), F.lit("<br>\n"))
+    body = _escape(body_text(c("l_linenumber"), or_blank("name")))
+    body = F.replace(
+        F.replace(body, F.lit("–"), F.when(odd, F.lit("&#8211;")).when(thousands, F.lit("&#150 ")).otherwise(F.lit("&ndash;"))),
+        F.lit("\n"), F.lit("<br>\n"),
+    )
+    # The number above ends at the blank, which belongs to the text.
+    body = F.replace(body, F.lit("&#150  "), F.lit("&#150 "))
     page = F.concat(
         F.lit("<!DOCTYPE html><html><head><title>listing</title>"
               '<!-- <span id="titletextonly">not this</span> -->\n'
               '<script type="application/ld+json" id="ld_posting_data" >'), doc,
         F.lit("</script></head><body>\n<h1><span id=\"titletextonly\">"), _escape(c("title_text")),
         F.lit('</span></h1>\n<time class="date timeago" datetime="'),
-        F.date_format("time_posted", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('-0700">posted</time>\n'),
+        F.coalesce(F.date_format("time_posted", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("")), F.lit('-0700">posted</time>\n'),
         F.lit('<span class="slider-info">image 1 of '), c("l_linenumber").cast("string"),
-        F.lit('</span>\n<div class="attrgroup"><span class="valu year"> '), c("year").cast("string"),
-        F.lit('</span>\n<a href="/x" class="valu makemodel"> '), _escape(c("name")), F.lit(" </a></div>\n"),
+        F.lit('</span>\n<div class="attrgroup"><span class="valu year"> '), or_blank("year"),
+        F.lit('</span>\n<a href="/x" class="valu makemodel"> '), _escape(or_blank("name")), F.lit(" </a></div>\n"),
         _attr("odometer", miles, odd),
         _attr("condition", c("condition"), odd),
         _attr("title status", F.lit("unknown"), odd),
         _attr("title status", c("title"), ~odd),
         _attr("paint color", c("paint"), odd),
+        _attr("drive", c("drive"), odd),
+        _attr("cylinders", c("cylinders"), ~odd),
+        _attr("type", c("type"), odd),
+        _attr("VIN", c("vin"), ~odd),
         _attr("fuel", c("fuel"), odd),
         _attr("transmission", c("transmission"), ~odd),
         F.lit('<section class="body" id="postingbody"><div><p>QR</p><script>var a = "<p>";</script></div>'),
@@ -236,19 +241,24 @@ def render_pages(listings_df: DataFrame) -> DataFrame:
 def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search-result pages (``location, page_no, html``), in the order of the lines.
 
-    Each names a part offered on the site, and one on a neighbouring site that must be
+    Each names two parts offered on the site, and one on a neighbouring site that must be
     left aside; parts recur, so that every site's crawl comes to an end.
     """
     c = F.col
     part = F.concat(F.lit(".example.org/cto/d/"), c("l_partkey").cast("string"), F.lit(".html"))
     own = F.concat(F.lit("https://"), c("location"), part)
     far = F.concat(F.lit("https://wider-area"), part)
+    next_ = F.concat(
+        F.lit("https://"), c("location"), F.lit(".example.org/cto/d/"),
+        (c("l_partkey") + 1).cast("string"), F.lit(".html?a=1&amp;b=2"),
+    )
     html = F.concat(
         F.lit("<html><ul><li><a class='cl-app posting-title' tabindex=0 href='"), own,
         F.lit("?a=1&amp;b=2'>one</a></li>\n<!-- <a class=\"posting-title\" href=\"https://"),
         c("location"), F.lit('.example.org/gone">x</a> -->\n<li><a href="'), far,
         F.lit('" class="posting-title">two</a></li>\n<li><a href="'), own,
-        F.lit('#map" class="map">three</a></li></ul></html>'),
+        F.lit('#map" class="map">three</a></li><li><a class="posting-title" href="'), next_,
+        F.lit('">four</a></ul></html>'),
     )
     return listings(spark, sf_dir).select(
         "location", (c("l_orderkey") * 8 + c("l_linenumber")).alias("page_no"), html.alias("html")
@@ -262,9 +272,9 @@ def directory_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     site = F.concat(F.lit("https://"), F.lower("n_name"), F.lit(".example.org/"))
     html = F.concat(
         F.lit('<body><a href="https://elsewhere.example.org/">x</a>'
-              "<div class='geo-site-list-container wide'><ul><li><a href=\""), site,
-        F.lit('old">a</a><li><a title="b" href="'), site, F.col("c_custkey").cast("string"),
-        F.lit('">b</a></ul></div><a href="https://after.example.org/">y</a></body>'),
+              "<div class='geo-site-list-container wide'><div><ul><li><a href=\""), site,
+        F.lit('old">a</a></ul></div><script>"</div>"</script><div><li><a title="b > c" href="'), site, F.col("c_custkey").cast("string"),
+        F.lit('">b</a></div></div><a href="https://after.example.org/">y</a></body>'),
     )
     return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("page_no"), html.alias("html")

@@ -1,11 +1,12 @@
 import datetime as dt
 
+import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from forecourt.operators import extract
-from forecourt.plans import jobs
+from forecourt.operators import extract, frontier
+from forecourt.plans import catalog, jobs
 from forecourt.schemas import FRONTIER, LISTINGS, MODELS, RAW_PAGES
 from forecourt.sources import sample
 from forecourt.sources.tables import append_table, log_run, overwrite_table, read_table
@@ -40,8 +41,10 @@ def test_run_log(spark, tmp_path):
         ("a", t, t, "1 row"), ("b", t, t, "2 rows")]
 
 
-def test_parse_round_trip_and_plan(spark, sf_dir):
-    listings, raw = sample.listings(spark, sf_dir), sample.raw_pages(spark, sf_dir)
+def test_parse_round_trip_and_plan(spark, sf_dir, tmp_path):
+    listings = sample.listings(spark, sf_dir)
+    sample.raw_pages(spark, sf_dir).write.parquet(str(tmp_path / "raw"))
+    raw = read_table(spark, str(tmp_path / "raw"))
     parsed = extract.extract_fields(raw)
     same = [c for c in LISTINGS.fieldNames() if c in parsed.columns and c in listings.columns]
     left = parsed.select(same)
@@ -50,7 +53,15 @@ def test_parse_round_trip_and_plan(spark, sf_dir):
     plan = plan_of(parsed)
     assert "Python" not in plan and "Exchange" not in plan
     full = plan_of(extract.parse_listings(raw, sample.dictionary(spark, sf_dir), sample.AS_OF))
-    assert "raw_html" not in full and "Python" not in full and "NestedLoop" not in full
+    assert "Python" not in full and "NestedLoop" not in full and "Cartesian" not in full
+
+
+def test_backlog_is_joined_before_pages_are_read(spark, sf_dir, tmp_path):
+    sample.raw_pages(spark, sf_dir).write.parquet(str(tmp_path / "raw"))
+    raw = read_table(spark, str(tmp_path / "raw"))
+    batch = frontier.parse_batch(raw.filter("location = 'nation_5'").select("url"), None)
+    plan = plan_of(extract.extract_fields(frontier.pages_to_parse(raw, batch)))
+    assert plan.index("regexp_replace(raw_html") < plan.index("LeftSemi")
 
 
 def test_malformed_page_keeps_its_row(spark, as_of):
@@ -77,12 +88,12 @@ def test_pipeline_end_to_end(spark, as_of, tmp_path):
     assert n == all_pages.count()
     assert jobs.update_frontier(spark, results, t["raw"], t["frontier"], as_of) == 0
     fetched = all_pages.select("url", "raw_html")
-    assert jobs.harvest_pages(spark, fetched, t["frontier"], t["raw"], as_of, log=t["log"]) == 130
-    assert jobs.harvest_pages(spark, fetched, t["frontier"], t["raw"], as_of, limit=None) == n - 130
+    assert jobs.harvest_pages(spark, fetched, t["frontier"], t["raw"], as_of, limit=130) == 130
+    assert jobs.harvest_pages(spark, fetched, t["frontier"], t["raw"], as_of, log=t["log"]) == n - 130
     assert jobs.clean_frontier(spark, t["frontier"], t["raw"], t["clean"]) == 0
     words = sample.dictionary(spark, sf)
     assert jobs.parse_pages(spark, t["raw"], words, t["listings"], as_of, limit=100, log=t["log"]) == 100
-    assert jobs.parse_pages(spark, t["raw"], words, t["listings"], as_of, limit=None) == n - 100
+    assert jobs.parse_pages(spark, t["raw"], words, t["listings"], as_of) == n - 100
     assert jobs.parse_pages(spark, t["raw"], words, t["listings"], as_of) == 0
     overwrite_table(sample.states(spark, sf), t["states"])
     fitted = jobs.fit_price_models(
@@ -95,8 +106,13 @@ def test_pipeline_end_to_end(spark, as_of, tmp_path):
     pick = ["url", F.round("predicted_price", 1).alias("p"), "sample_size"]
     assert read_table(spark, t["deals"]).select(*pick).exceptAll(expected.select(*pick)).count() == 0
     notes = {r.task: r.notes for r in read_table(spark, t["log"]).collect()}
-    assert notes["getting_links"] == f"pulled {n} links on h"
-    assert set(notes) == {"getting_links", "harvesting_pages", "basic_html_parsing", "fitting_models", "scoring_deals"}
+    assert notes["update_frontier"] == f"{n} new URLs queued on h"
+    assert set(notes) == {"update_frontier", "harvest_pages", "parse_pages", "fit_price_models", "score_deals"}
+    # A second parse of every page neither doubles the training rows nor the scored ones.
+    later = as_of + dt.timedelta(hours=1)
+    again = extract.parse_listings(read_table(spark, t["raw"]), words, later)
+    assert append_table(again, t["listings"]) == n
+    assert jobs.score_deals(spark, t["listings"], t["states"], t["models"], t["deals"], as_of) == scored
 
 
 def test_stream_parses_each_page_once(spark, as_of, tmp_path):
@@ -116,5 +132,24 @@ def test_stream_parses_each_page_once(spark, as_of, tmp_path):
     assert both.select("make").filter("make IS NULL").count() == 0
 
 
+def test_misfits_are_errors(spark, tmp_path):
+    row = spark.range(1).select(F.lit("ford").alias("make"), *[F.lit("abc").alias(c) for c in MODELS.fieldNames()[1:]])
+    with pytest.raises(Exception, match="does not fit"):
+        overwrite_table(row, str(tmp_path / "t"), MODELS)
+
+
 def test_contract_names():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(catalog.ORACLES) == set(catalog.QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_building_queries_runs_no_job(spark, sf_dir):
+    sc = spark.sparkContext
+    sc.setJobGroup("building", "building queries")
+    for build in catalog.QUERIES.values():
+        build(spark, sf_dir)
+    ran = [j for j in sc.statusTracker().getJobIdsForGroup("building")]
+    sc.setJobGroup("", "")
+    # Reading a parquet file's schema is a job of one task; nothing else runs.
+    names = {sc.statusTracker().getStageInfo(s).numTasks for j in ran for s in sc.statusTracker().getJobInfo(j).stageIds if sc.statusTracker().getStageInfo(s)}
+    assert names <= {1}

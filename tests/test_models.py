@@ -133,11 +133,14 @@ def test_constant_price_and_dropped_rows(spark):
     assert models["a", "flat"].r_squared is None
 
 
-def test_fit_is_one_shuffle_of_partial_sums(spark, as_of):
+def test_fit_shuffles_partial_sums(spark, as_of):
     df = listings(spark, [car(as_of, price=float(i)) for i in range(1, 30)])
     plan = plan_of(regression.fit_models(training.fit_set(df, as_of, min_group=1)))
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "partial_covar_pop" in plan and "Window" not in plan
+    # Bounds: by year, by model, and to both sides of their join (AQE broadcasts them when small);
+    # models: one more.  All sums are made in part before they are shuffled.
+    assert plan.count("Exchange hashpartitioning") <= 5
+    # The one window adds up years of a model.
+    assert "partial_covar_pop" in plan and plan.count("- Window [") == 1 and "Window [sum(n#" in plan
     assert "FlatMapGroups" not in plan and "CartesianProduct" not in plan
 
 

@@ -104,13 +104,15 @@ def test_fuzzy_agrees_with_brute_force(spark):
 
     targets = sorted({" ".join(text().split()) for _ in range(60)})
     inputs = sorted({" ".join(blur(text()).split()) for _ in range(60)} - {""})
-    for cutoff in (0.75, 0.9):
+    inputs += ["transitlariatcamrycf " + "u " * 40, "a b", "q"]
+    targets += [" ".join(["transitlariatcamrycf", *["9"] * 40]), "c d", "transit transit si si"]
+    for cutoff in (0.3, 0.55, 0.75, 0.9, 1.0):
         expected = set()
         for i in inputs:
             if i in targets:
                 expected.add((i, i))
                 continue
-            scores = {t: four_scores(i, t) for t in targets}
+            scores = {t: four_scores(i.strip(), t) for t in targets}
             for k in range(4):
                 ok = sorted((-s[k], t) for t, s in scores.items() if s[k] >= cutoff)
                 expected |= {(i, t) for _, t in ok[:3]}
