@@ -7,6 +7,8 @@ and not the size of the tables.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,9 +22,11 @@ def parse_stream(
 ) -> StreamingQuery:
     """Start parsing what is new under ``raw_path``; ends when it is all read.
 
-    Each micro-batch owns one ``batch`` partition of ``out_path`` and replaces it, so a
-    batch repeated after a failure leaves its rows once.
+    Each micro-batch owns one ``run``, ``batch`` partition of ``out_path`` and replaces it, so a batch
+    repeated after a failure leaves its rows once.  The run is named after the checkpoint: a stream
+    with another checkpoint, whose batches count from 0 again, replaces nothing.
     """
+    run = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint.rstrip("/")).hex[:12]
     pages = (
         spark.readStream.schema(RAW_PAGES)
         .option("maxFilesPerTrigger", files_per_trigger)
@@ -31,7 +35,7 @@ def parse_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = parse_listings(batch, dictionary, as_of)
-        rows.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/run=r{run}/batch={batch_id}")
 
     return (
         pages.writeStream.foreachBatch(write)
