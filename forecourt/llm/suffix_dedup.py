@@ -245,11 +245,11 @@ class _Files:
         self.files = [open(os.path.join(folder, f"{name}-{generation % 2}"), mode) for name in ("bwt", "lcp")]  # noqa: SIM115
 
     def read(self, n: int) -> list[np.ndarray]:
-        return [np.fromfile(f, kind, n) for f, kind in zip(self.files, self.kinds, strict=True)]
+        return [np.frombuffer(f.read(n * kind.itemsize), kind) for f, kind in zip(self.files, self.kinds, strict=True)]
 
     def write(self, columns: list[np.ndarray]) -> None:
         for f, column in zip(self.files, columns, strict=True):
-            column.tofile(f)
+            f.write(column.data)
 
     def close(self) -> None:
         for f in self.files:
@@ -295,6 +295,8 @@ def suffix_order(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, folder:
         cuts = np.searchsorted(bucket[by_bucket], np.arange(n_symbols + 1))
         following: list[tuple[np.ndarray, ...]] = []
         for z in order:
+            if not sizes[z] and cuts[z] == cuts[z + 1]:
+                continue
             bwt, lcp = old.read(int(sizes[z]))
             mine = by_bucket[cuts[z]:cuts[z + 1]]
             if len(mine):
