@@ -321,6 +321,15 @@ def test_slots_are_what_varies_where_no_article_is_marked(spark):
     assert got == {i: f"Story {i} is new" for i in range(12)} | {99: "Story 9 is new Only here"}
 
 
+def test_copies_of_a_page_do_not_make_its_article_a_template(spark):
+    page = "<body><div>Welcome</div><article><h1>Title {0}</h1><p>Story {0}</p></article><div>Contact</div><script>track({1})</script></body>"
+    rows = [(i, "http://c.org/a", page.format("same", 0)) for i in range(12)] + [(i, f"http://c.org/{i}", page.format("same", i)) for i in range(12, 20)]
+    rows += [(i, None, page.format("same", 0)) for i in range(20, 32)] + [(40, "http://c.org/b", page.format("other", 0))]
+    rows += [(i, f"http://d.org/{i}", page.format("same", 0).replace("Contact", f"Contact {i}")) for i in range(50, 62)]
+    got = {r.page_id: r.text for r in html_extraction.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == {i: "Title same Story same" for i, *_ in rows} | {40: "Title other Story other"}
+
+
 def test_simple_tree_matching():
     leaf = lambda x: [x, 1, {}, []]
     a, b = [leaf("p"), ["div", 1, {}, [leaf("i"), leaf("b")]], leaf("q")], [leaf("x"), ["div", 1, {}, [leaf("b")]], leaf("q"), leaf("p")]
