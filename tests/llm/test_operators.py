@@ -330,6 +330,27 @@ def test_copies_of_a_page_do_not_make_its_article_a_template(spark):
     assert got == {i: "Title same Story same" for i, *_ in rows} | {40: "Title other Story other"}
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<div id=page class='layout no-sidebar'><article><h1>T</h1><p>Story</article></div>", "T Story"),
+    ("<div class='content has-sidebar'><p>Story</div><div class='comments-open'>More</div>", "Story More"),
+    ("<div class=sidebar><div><article><p>Story</article></div><p>Links</div>", "Story"),
+    ("<form id=aspnet><article><p>Story</article></form>", "Story"),
+    ("<article><div class='entry-header'><h1>T</h1></div><p>Story<div class='x ad'>Buy</div></article>", "T Story"),
+    ("<main><h1>T</h1><p>The story at its whole length</main><div><article>teaser</article><article>tease</article></div>", "T The story at its whole length"),
+    ("<main><p>The story<article>teaser</article></main>", "The story teaser"),
+    ("<main>skip</main><article>The whole story</article><div id=comments><article>I agree</article></div>", "The whole story"),
+])
+def test_names_do_not_lose_the_article(page, text):
+    assert html_extraction.extract(html_extraction.tree("<body>" + page), []) == text
+
+
+def test_names_vote_only_where_the_wrapper_is_silent(spark):
+    page = "<body><div class=box>Same</div><div class=related>Story {0}</div>{1}</body>"
+    rows = [(i, f"http://n.org/{i}", page.format(i, "")) for i in range(12)] + [(12, "http://n.org/12", page.format(12, "<div class=share>tell</div>"))]
+    got = {r.page_id: r.text for r in html_extraction.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)).collect()}
+    assert got == {i: f"Story {i}" for i in range(13)}
+
+
 def test_simple_tree_matching():
     leaf = lambda x: [x, 1, {}, []]
     a, b = [leaf("p"), ["div", 1, {}, [leaf("i"), leaf("b")]], leaf("q")], [leaf("x"), ["div", 1, {}, [leaf("b")]], leaf("q"), leaf("p")]
