@@ -351,6 +351,17 @@ def test_names_vote_only_where_the_wrapper_is_silent(spark):
     assert got == {i: f"Story {i}" for i in range(13)}
 
 
+def test_three_pages_tell_constant_items_of_a_run_and_late_blocks(spark):
+    page = "<body><div>Welcome</div><div>Story {0}</div><div>Contact</div></body>"
+    many = "".join(f"<p class=k{chr(97 + i // 26)}{chr(97 + i % 26)}>Fixed {i}</p>" for i in range(200))
+    rows = [(i, f"http://few.org/{i}", page.format(i)) for i in range(3)] + [(9, "http://two.org/", page.format(9)), (10, "http://two.org/2", page.format(10))]
+    rows += [(i, f"http://flat.org/{i}", many + f"<section>Text {i}</section>") for i in range(20, 24)]
+    rows += [(i, f"http://runs.org/{i}", "".join(f"<p>Line {i} {k}</p>" for k in range(90)) + "<p>Share this") for i in range(30, 70)]
+    got = {r.page_id: r.text for r in html_extraction.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    want = {i: f"Story {i}" for i in range(3)} | {i: f"Welcome Story {i} Contact" for i in (9, 10)} | {i: f"Text {i}" for i in range(20, 24)}
+    assert got == want | {i: " ".join(f"Line {i} {k}" for k in range(90)) for i in range(30, 70)}
+
+
 def test_simple_tree_matching():
     leaf = lambda x: [x, 1, {}, []]
     a, b = [leaf("p"), ["div", 1, {}, [leaf("i"), leaf("b")]], leaf("q")], [leaf("x"), ["div", 1, {}, [leaf("b")]], leaf("q"), leaf("p")]
