@@ -3,27 +3,30 @@
 Equal texts form an atomic group.  Groups are ordered by a 63-bit hash of their text (texts of one
 hash stay together, which can only join groups) and cut into ``shards`` contiguous runs so that the
 largest run is as small as contiguous cuts allow.  The smallest feasible capacity is found by binary
-search; a capacity is feasible if filling shards greedily, each up to the capacity, needs no more than
-``shards`` of them, and the greedy cuts at the smallest one are taken.
+search; a capacity is feasible if filling shards greedily, each up to the capacity or with one larger group
+alone, needs no more than ``shards`` of them.  So a hot group does not raise the capacity of the others.
+The groups larger than that capacity are shards of their own, the others between them are searched again
+with the shards that remain, of which the segment with the largest mean load gets the next.  Where no
+group is larger, each cut is the possible one nearest to an even share.
 
 *At scale.*  The groups never meet in one place.  The driver works on the sizes of hash ranges: at
-first 4,096 equal ranges of the hash line.  A greedy run needs to know more only where a cut falls
-inside a range, so those ranges are split into 4,096 again, by one aggregate over the group table
-limited to them, until every range in which a cut can fall is a single group.  The driver holds some
+first 4,096 equal ranges of the hash line.  The search needs to know more only where an end falls
+inside a range, so those ranges and their neighbours are split into 4,096 again, by one aggregate over the
+group table limited to them, until every range that decides an end is a single group.  The driver holds some
 tens of thousands of numbers at any size of the input; all counts and sums are made by Spark.
 
 ``slot`` numbers the rows of a shard from 0 in the order of a hash of the row (``rank_in_groups``), so
 no task holds a shard.  Texts are read once, for their hash, size and CRC; only those travel.
 
 Cases: a null text has no bytes and groups with the empty one (size 1, CRC 0); a null id is kept;
-repeated rows are rows; a group larger than the even share fills a shard alone and the others share
-the rest; with fewer groups than shards the last shards are empty; an empty table gives an empty
+repeated rows are rows; a group larger than the capacity of the others fills a shard alone and the others
+share the rest; with fewer groups than shards the last shards are empty; an empty table gives an empty
 result.  Columns of ``docs`` named like the results are not read.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 from functools import reduce
 from itertools import accumulate
@@ -50,33 +53,82 @@ class Range:
     size: int
 
 
-def _ends(ranges: list[Range], capacity: int, shards: int, whole: bool) -> list[int]:
-    """Total size up to the end of run 1, 2, .. ``shards`` of the greedy filling.
-
-    whole: ranges are not split, so the true runs reach as far or further.  Otherwise a range of more
-    than one group is taken as divisible at will, so they reach no further.
-    """
-    upto = list(accumulate((r.size for r in ranges), initial=0))
-    ends, at = [], 0
-    for _ in range(shards):
-        reach = min(at + capacity, upto[-1])
-        i = bisect_right(upto, reach) - 1
-        at = reach if not whole and i < len(ranges) and ranges[i].bits else upto[i]
-        ends.append(at)
-    return ends
-
-
-def _smallest(ranges: list[Range], shards: int, whole: bool) -> int:
-    """Smallest capacity at which ``shards`` runs reach the end."""
-    total = sum(r.size for r in ranges)
-    lo, hi = -(-total // shards), total
-    while lo < hi:
-        mid = (lo + hi) // 2
-        if _ends(ranges, mid, shards, whole)[-1] == total:
-            hi = mid
-        else:
-            lo = mid + 1
-    return lo
+class _Cuts:
+    """The cuts for ranges taken as groups; ``unknown``: the ranges of more than one group that decide any of them."""
+
+    def __init__(self, ranges: list[Range], shards: int):
+        self.ranges, self.unknown = ranges, set()
+        self.upto = list(accumulate((r.size for r in ranges), initial=0))
+        self.cuts = self._even(0, len(ranges), shards)[1:] if ranges else []
+
+    def _ask(self, i: int) -> None:
+        if i < len(self.ranges) and self.ranges[i].bits:
+            self.unknown.add(i)
+
+    def _floor(self, value: int) -> int:
+        """The last end at or before a value."""
+        i = bisect_right(self.upto, value) - 1
+        if self.upto[i] < value:
+            self._ask(i)
+        return i
+
+    def _runs(self, lo: int, hi: int, capacity: int, most: int, asked: bool = False) -> int:
+        """Runs of the greedy filling, more than ``most`` if these do not reach the end."""
+        n = 0
+        while lo < hi and n <= most:
+            n += 1
+            if self.ranges[lo].size > capacity:
+                if asked:
+                    self._ask(lo)
+                lo += 1
+            else:
+                reach = min(self.upto[lo] + capacity, self.upto[hi])
+                lo = self._floor(reach) if asked else bisect_right(self.upto, reach) - 1
+        return n
+
+    def _even(self, lo: int, hi: int, shards: int) -> list[int]:
+        """First range of each shard."""
+        low, high = 0, self.upto[hi] - self.upto[lo]
+        while low < high:
+            mid = (low + high) // 2
+            low, high = (low, mid) if self._runs(lo, hi, mid, shards) <= shards else (mid + 1, high)
+        # With all ranges known that these two meet, the first is feasible and the second not.
+        self._runs(lo, hi, low, shards, True)
+        if low:
+            self._runs(lo, hi, low - 1, shards, True)
+        hot = [i for i in range(lo, hi) if self.ranges[i].size > low]
+        if not hot:
+            return self._nearest(lo, hi, shards, low)
+        edges = [lo - 1, *hot, hi]
+        parts = [(a + 1, b) for a, b in zip(edges, edges[1:], strict=False) if a + 1 < b]
+        given = [self._runs(a, b, low, shards) for a, b in parts]
+        for _ in range(shards - len(hot) - sum(given)):
+            room = [k for k, (a, b) in enumerate(parts) if b - a > given[k]]
+            if not room:
+                break
+            given[max(room, key=lambda k: (self.upto[parts[k][1]] - self.upto[parts[k][0]]) / given[k])] += 1
+        return sorted(hot + [i for (a, b), k in zip(parts, given, strict=True) for i in self._even(a, b, k)])
+
+    def _nearest(self, lo: int, hi: int, shards: int, capacity: int) -> list[int]:
+        """No range is larger than the capacity: ends as near to even shares as it allows."""
+        first = [hi]  # of the last shards, filled from the end
+        for _ in range(shards - 1):
+            value = max(self.upto[lo], self.upto[first[-1]] - capacity)
+            self._floor(value)
+            first.append(bisect_left(self.upto, value))
+        first.reverse()
+        out, start, size = [lo], self.upto[lo], self.upto[hi] - self.upto[lo]
+        for k in range(1, shards):
+            if out[-1] + 1 >= hi:
+                break
+            aim = start + size * k // shards
+            i = self._floor(aim)
+            if i < hi and 2 * (aim - self.upto[i]) > self.ranges[i].size:
+                i += 1
+            least = max(first[k - 1], out[-1] + 1)
+            most = min(self._floor(min(self.upto[out[-1]] + capacity, self.upto[hi])), max(out[-1] + 1, hi - (shards - k)))
+            out.append(max(least, min(i, most)))
+        return [i for i in out if i < hi]
 
 
 def _split(groups: DataFrame, ranges: list[Range]) -> list[Range]:
@@ -97,23 +149,17 @@ def _split(groups: DataFrame, ranges: list[Range]) -> list[Range]:
 
 
 def minimax_cuts(groups: DataFrame, shards: int) -> tuple[list[int], int]:
-    """First hash of the second, third, ... shard, and the smallest capacity, for ``groups(h, size)``."""
+    """First hash of the second, third, ... shard, and the largest load, for ``groups(h, size)``."""
     ranges = sorted(_split(groups, [Range(0, LINE_BITS, 0)]), key=lambda r: r.lo)
     while True:
-        low, high = _smallest(ranges, shards, whole=False), _smallest(ranges, shards, whole=True)
-        # The best capacity is from low to high, and at any of those the end of run k is between these:
-        between = list(zip(_ends(ranges, low, shards, True), _ends(ranges, high, shards, False), strict=True))[:-1]
-        upto = list(accumulate((r.size for r in ranges), initial=0))
-        unknown = [
-            i for i, r in enumerate(ranges)
-            if r.bits and any(upto[i] < b and upto[i + 1] > a for a, b in between)
-        ]
-        if not unknown:
-            cuts = [bisect_right(upto, v) - 1 for v in _ends(ranges, high, shards, True)[:-1]]
-            return [ranges[i].lo for i in cuts if i < len(ranges)], high
-        # The largest first: one that holds a hot group bounds the capacity once it is known.
-        widest = max(ranges[i].bits for i in unknown)
-        chosen = set(sorted((i for i in unknown if ranges[i].bits == widest), key=lambda i: -ranges[i].size)[:SPLIT_AT_ONCE])
+        found = _Cuts(ranges, shards)
+        if not found.unknown:
+            ends = [found.upto[i] for i in [0, *found.cuts, len(ranges)]]
+            return [ranges[i].lo for i in found.cuts], max(b - a for a, b in zip(ends, ends[1:], strict=False))
+        # The largest first: one that holds a hot group decides most.  Neighbours too: ends move as ranges are split.
+        widest = max(ranges[i].bits for i in found.unknown)
+        near = {j for i in found.unknown if ranges[i].bits == widest for j in range(max(0, i - 2), min(len(ranges), i + 3)) if ranges[j].bits == widest}
+        chosen = set(sorted(near, key=lambda i: (i not in found.unknown, -ranges[i].size))[:SPLIT_AT_ONCE])
         finer = _split(groups, [ranges[i] for i in sorted(chosen)])
         ranges = sorted([r for i, r in enumerate(ranges) if i not in chosen] + finer, key=lambda r: r.lo)
 

@@ -190,6 +190,34 @@ def test_sharding_splits_ranges_until_groups_are_known(spark, monkeypatch):
     assert max(loads.values()) == capacity
 
 
+def test_hot_groups_leave_even_shards_to_the_others(spark, monkeypatch):
+    def loads(sizes, n):
+        groups = spark.createDataFrame([(i << 40, z) for i, z in enumerate(sizes)], "h long, size long")
+        cuts, most = sharding.minimax_cuts(groups, n)
+        out = Counter()
+        for i, z in enumerate(sizes):
+            out[sum(c <= i << 40 for c in cuts)] += z
+        assert most == max(out.values()) == B.best_capacity(sizes, n)
+        return [out[k] for k in range(n)]
+
+    got = loads([1] * 100 + [100] + [1] * 100, 8)
+    assert sorted(got)[-2] == 34 and min(got) >= 25 and sum(got) == 300
+    got = loads([1] * 50 + [300] + [1] * 100 + [90] + [1] * 250, 8)  # 400 over six shards, in three parts
+    assert sorted(got)[-2:] == [90, 300] and sorted(got)[-3] == 84 and min(got) == 50
+    assert loads([10, 100, 10, 100, 10], 4)[-1] > 0
+    assert loads([2, 2, 2, 2], 3) in ([2, 2, 4], [2, 4, 2], [4, 2, 2])
+    assert loads([5, 7, 6], 5) == [5, 7, 6, 0, 0]
+
+
+def test_cuts_of_split_ranges_are_those_of_all_groups(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = sorted((rng.getrandbits(63), 900 if k in (3, 70) else rng.randrange(1, 30)) for k in range(120))
+    whole = sharding._Cuts([sharding.Range(h, 0, z) for h, z in rows], 7)
+    monkeypatch.setattr(sharding, "FAN_BITS", 3)
+    cuts, _ = sharding.minimax_cuts(spark.createDataFrame(rows, "h long, size long"), 7)
+    assert cuts == [rows[i][0] for i in whole.cuts]
+
+
 # --- 6
 
 
