@@ -9,13 +9,15 @@ if a measure lies far outside its group's quantiles.
 leading ``SIGNIFICANT`` binary digits, so a quantile read from it is within 1 part in 2**SIGNIFICANT of
 an exact one; sketches merge by adding counts, in any order, with one result.  They are made by an
 ordinary aggregate with map-side sums: a source with a third of all rows is counted like any other.
-Counts merge upwards as well: a group of fewer than ``min_group`` documents takes the limits of its
-language, a language with fewer those of the whole corpus.
+Counts merge upwards as well: a group's quantiles are drawn to those of its language, and these to the whole
+corpus', as ``min_group`` documents would draw them, so small groups follow their language without a step.
 
 *Limits.*  With quartiles q1 and q3 of the group, a value is an outlier above q3 + reach * (q3 - q1) + slack,
 and below q1 - reach * (q3 - q1) - slack where low values are judged.  Quartiles, since up to a quarter of
 a group may be junk without moving them.  ``slack`` keeps groups whose values hardly differ from rejecting harmless
-ones.  The limits table is small (measures x groups) and joined, not collected.
+ones.  Where three quarters and more of the values are 0, the quartiles are those of the values above 0, without slack:
+what is far out even among documents that have any.  There ``slack`` is the highest limit: if those that have any are mostly
+junk, their quartiles tell nothing.  The limits table is small (measures x groups) and joined, not collected.
 
 Three-word windows are counted within the row: they are sorted with their positions, equal neighbours
 are repeats.  Hash and text of a window are compared, so no collision counts.
@@ -108,12 +110,18 @@ def sketches(rows: DataFrame) -> DataFrame:
 
 
 def _quantiles(sketch: DataFrame, group: list[str]) -> DataFrame:
-    """Quantiles of each group's merged sketch: the first bucket that reaches the rank."""
+    """Quantiles of each group's merged sketch, of all values and of those above 0: the first bucket that reaches the rank."""
     merged = sketch.groupBy(*group, "measure", "bucket").agg(F.sum("n").alias("n"))
     upto = Window.partitionBy(*group, "measure").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = merged.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(Window.partitionBy(*group, "measure")))
+    whole = Window.partitionBy(*group, "measure")
+    ranked = (
+        merged.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(whole))
+        .withColumn("zeros", F.coalesce(F.sum(F.when(F.col("bucket") == 0, F.col("n"))).over(whole), F.lit(0)))
+    )
     at = lambda q: F.min(F.when(F.col("upto") >= F.ceil(F.col("all") * q), F.col("bucket")))
-    return ranked.groupBy(*group, "measure").agg(F.max("all").alias("size"), at(0.25).alias("q1"), at(0.75).alias("q3"))
+    some = F.col("all") - F.col("zeros")
+    above = lambda q: F.min(F.when((F.col("bucket") > 0) & (F.col("upto") - F.col("zeros") >= F.ceil(some * q)), F.col("bucket")))
+    return ranked.groupBy(*group, "measure").agg(F.max("all").alias("size"), at(0.25).alias("q1"), at(0.75).alias("q3"), F.max(some).alias("some"), above(0.25).alias("s1"), above(0.75).alias("s3"))
 
 
 def limits(sketch: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH) -> DataFrame:
@@ -129,15 +137,28 @@ def limits(sketch: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH)
             part = groups.withColumn("measure", F.explode(F.array(*(F.lit(m) for m in RATIOS)))).join(renamed, "measure")
         else:
             part = groups.join(renamed, reduce(lambda a, b: a & b, (F.col(n).eqNullSafe(F.col(f"q_{n}")) for n in names)))
-            part = part if level == 2 else part.filter(F.col("size") >= min_group)
-        part = part.select("lang", "source", "measure", "level", "q1", "q3")
+        part = part.select("lang", "source", "measure", "level", "size", "q1", "q3", "some", "s1", "s3")
         best = part if best is None else best.unionByName(part)
-    chosen = best.groupBy("lang", "source", "measure").agg(F.min_by(F.struct("q1", "q3"), "level").alias("q")).select("lang", "source", "measure", "q.*")
+    own = lambda c, level: F.max(F.when(F.col("level") == level, F.col(c)))
+    every = best.groupBy("lang", "source", "measure").agg(*(own(c, k).alias(f"{c}_{k}") for c in ("size", "q1", "q3", "some", "s1", "s3") for k in range(3)))
+
+    def blended(value: str, size: str) -> Column:
+        """Of the corpus, the language and the group, each drawn to the one before as ``min_group`` rows would."""
+        out = F.col(f"{value}_2").cast("double")
+        for k in (1, 0):
+            n = F.col(f"{size}_{k}")
+            out = F.coalesce((n * F.col(f"{value}_{k}") + min_group * out) / (n + min_group), out)
+        return out
+
+    chosen = every.select(
+        "lang", "source", "measure", *(blended(c, "size").alias(c) for c in ("q1", "q3")), *(blended(c, "some").alias(c) for c in ("s1", "s3")),
+    )
     out = []
     for m, (_, _, low_too, slack) in RATIOS.items():
         spread = (F.col("q3") - F.col("q1")) * F.lit(reach)
+        sparse = F.least(F.lit(float(slack)), F.col("s3") + (F.col("s3") - F.col("s1")) * F.lit(reach))
         pick = lambda c, m=m: F.max(F.when(F.col("measure") == m, c))
-        out.append(pick(F.col("q3") + spread + slack).alias(f"{m}_high"))
+        out.append(pick(F.when(F.col("q3") == 0, sparse).otherwise(F.col("q3") + spread + slack)).alias(f"{m}_high"))
         if low_too:
             out.append(pick(F.col("q1") - spread - slack).alias(f"{m}_low"))
     return chosen.groupBy(F.col("lang").alias("l_lang"), F.col("source").alias("l_source")).agg(*out)

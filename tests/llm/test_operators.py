@@ -307,6 +307,17 @@ def test_quality_measures_and_verdicts(spark, docs, none):
     assert {r.doc_id for r in judged.filter("not kept").collect()} == {900 + i for i in range(9)}
 
 
+def test_sparse_measures_take_limits_from_their_group(spark):
+    names = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
+    high = {"en": 40, "de": 400}  # a tenth of the documents repeat from 5 to 10 in a thousand words, or ten times that
+    rows = [(i, lang, "s", 1000, 5000, 0, 10, 0, 0 if i % 10 else top // 8 + i % (top // 8)) for lang, top in high.items() for i in range(4000)]
+    limit = {r.l_lang: r for r in quality.limits(quality.sketches(spark.createDataFrame(rows, names))).collect()}
+    assert 80 < limit["en"].repeats_high < 400 < limit["de"].repeats_high < 2000
+    small = rows + [(i, "en", "t", 1000, 9000 if i < n else 5000, 0, 10, 0, 0) for n in (150,) for i in range(199)]
+    at = {r.l_source: r for r in quality.limits(quality.sketches(spark.createDataFrame(small, names))).filter("l_lang = 'en'").collect()}
+    assert at["s"].word_length_high + 10_000 < at["t"].word_length_high < 90_000 + 3 * 40_000 + 10_000
+
+
 def test_sketch_quantiles_are_near_and_merge(spark):
     rng = random.Random(4)
     values = [rng.randrange(10**6) for _ in range(500)]
