@@ -145,14 +145,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id.
+    """One row of each group of near duplicates: the one with the smallest id, then hash of its text.
 
-    Columns as in ``docs``.  A document without an id, which no other could be told from, stays if
-    its group has no id at all.  Rows that repeat a kept id stay with it.
+    Columns as in ``docs``.  Rows without an id come after those with one.  Rows of one id and one text
+    are told apart by a number that each row of the staged input gets.
     """
-    groups = near_duplicates(docs, shingle=shingle, max_bits=max_bits)
-    kept = groups.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
+    row = "__row"
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    prints = staged(fingerprints(numbered, row, "text", shingle), "fingerprints")
+    parts = connected_components(links(prints.select("fp").distinct(), max_bits, 2))
+    of_row = prints.join(parts.select(F.col("node").alias("fp"), "component"), "fp", "left").select(F.col("id").alias("r"), F.coalesce("component", "fp").alias("component"))
+    # Smallest by (has no id, id, hash of text, row number); texts do not travel.
+    rank = numbered.select(F.col(row), F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), F.col(row).alias("r")).alias("rank"))
+    kept = of_row.join(rank, F.col("r") == F.col(row)).groupBy("component").agg(F.min("rank").alias("least")).select(F.col("least.r").alias("__kept"))
+    return numbered.join(kept, F.col(row) == F.col("__kept"), "left_semi").drop(row)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

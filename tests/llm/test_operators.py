@@ -40,6 +40,13 @@ def test_simhash_against_brute_force(docs, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
+def test_keep_first_decides_by_row(spark):
+    a, b, c = "one two three four five six", "quite another text of some words here", "a third one that is not like them at all"
+    rows = [(None, a), (None, a), (1, b), (None, b), (None, b), (2, c), (2, c), (2, c), (2, b)]
+    got = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert got.columns == ["doc_id", "text"] and Counter(map(tuple, got.collect())) == Counter([(None, a), (1, b), (2, c)])
+
+
 @pytest.mark.parametrize("crowd", [1, 256])
 def test_links_join_all_within_the_distance(spark, crowd):
     rng = random.Random(3)
