@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm.chunks import answered, by_shard, chunked, mix, unpacked
+from forecourt.llm.chunks import answered, by_shard, chunked, codes_of, mix, unpacked, words_of
 from forecourt.llm.common import Staged, staged
 
 # Difference covers by period (each difference modulo the period occurs).
@@ -63,10 +63,10 @@ def _rolling(values: np.ndarray, length: int) -> np.ndarray:
 class _Words:
     """A chunk's words as two lanes of hashes, and what windows its texts have."""
 
-    def __init__(self, words: list[str], codes: bytes, lens: list[int], window: int):
+    def __init__(self, row: dict, window: int):
         self.window, self.v = window, period_for(window)
-        self.codes, self.lens = np.frombuffer(codes, "<i4"), np.array(lens, np.int64)
-        data = [w.encode("utf-8") for w in words]
+        self.words = data = words_of(row["packed"])
+        self.codes, self.lens = codes_of(row["codes"], len(data)), np.array(row["lens"], np.int64)
         at = self.codes - 1
         self.lanes = [np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in data), np.uint64, len(data))[at] for seed in (1, 2)]
         first = np.repeat(np.cumsum(self.lens) - self.lens, self.lens)
@@ -154,10 +154,10 @@ def repeated_words(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     chunks = Staged(chunked(docs, lambda text: text.split(), id_col, text_col), "chunks", compression="zstd").df
     words = chunks.agg(F.sum(F.aggregate("lens", F.lit(0).cast("bigint"), lambda s, x: s + x))).first()[0] or 0
     bits = max(0, (words // (4 * SHARD_KEYS)).bit_length())
-    texts = chunks.select("chunk", "ids", "lens", "words", "codes")
+    texts = chunks.select("chunk", "ids", "lens", "packed", "codes")
 
     def of(row: dict) -> _Words:
-        return _Words(row["words"], row["codes"], row["lens"], window)
+        return _Words(row, window)
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -185,12 +185,12 @@ def repeated_words(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
             at, entry, a, _, _ = windows(row, text)
             found = unpacked(row["window_answers"], by_shard(a, bits), len(a))
             marked = text.covered(at[found[entry]])
-            names, spans, kept, start = [None, *row["words"]], [], [], 0
+            names, spans, kept, start = [b"", *text.words], [], [], 0
             for n in row["lens"]:
                 own = marked[start:start + n]
                 edges = np.flatnonzero(np.diff(np.r_[False, own, False].astype(np.int8)))
                 spans.append([{"start": int(x), "end": int(y)} for x, y in edges.reshape(-1, 2)])
-                kept.append(" ".join(map(names.__getitem__, text.codes[start:start + n][~own].tolist())))
+                kept.append(b" ".join(map(names.__getitem__, text.codes[start:start + n][~own].tolist())).decode("utf-8"))
                 start += n
             yield pa.RecordBatch.from_arrays([
                 batch_ids(row["ids"]), pa.array(row["lens"], pa.int64()),
