@@ -132,8 +132,12 @@ def frontier_cleanup(frontier: DataFrame, raw: DataFrame) -> DataFrame:
 
 
 def harvest_batch(frontier: DataFrame, raw: DataFrame, limit: int | None = 130) -> DataFrame:
-    """The next URLs to fetch: the ``limit`` oldest (equal ages by URL), or all with None."""
-    left = not_harvested(frontier, raw)
+    """The next URLs to fetch: the ``limit`` oldest (equal ages by URL), or all with None.
+
+    A URL that is queued several times is fetched once, for its oldest row.
+    """
+    left = not_harvested(frontier, raw).groupBy("url").agg(F.min(F.struct("row_created", "location")).alias("first"))
+    left = left.select("url", "first.location", "first.row_created")
     if limit is not None:
         left = left.orderBy("row_created", "url", "location").limit(limit)
     return left.select("url", "location")
@@ -168,19 +172,30 @@ def parse_batch(backlog: DataFrame, limit: int | None = 2500, seed: int = 41) ->
     return urls.orderBy(draw, "url").limit(limit)
 
 
-def latest_listings(listings: DataFrame) -> DataFrame:
-    """Of each URL the rows of its most recent parse; the table keeps every parse ever made.
+def latest_listings(listings: DataFrame, only: Column | None = None) -> DataFrame:
+    """Of each URL the row of its most recent parse; the table keeps every parse ever made.
 
-    The latest time per URL is a narrow aggregate, joined back on URL and time.  Rows that were
-    written twice by one parse count once.
+    Where the table tells when a page was pulled (``datetime_pulled``), the latest pull of that parse counts.
+    Rows equal in both are told apart by a hash of the whole row, so the choice does not depend on the
+    partitioning.  The latest time per URL is a narrow aggregate over all parses, joined back on URL and time;
+    ``only`` limits the rows joined to it, and so the files of a table laid out by day.
     """
-    last = listings.groupBy("url").agg(F.max("basic_processed_time").alias("_last"))
-    met = listings.alias("l").join(
-        last.withColumnRenamed("url", "_url"),
-        F.col("l.url").eqNullSafe(F.col("_url"))
-        & F.col("l.basic_processed_time").eqNullSafe(F.col("_last")),
-    )
-    return met.select("l.*").dropDuplicates(["url"])
+    times = ["basic_processed_time", *(["datetime_pulled"] if "datetime_pulled" in listings.columns else [])]
+    last = listings.groupBy("url").agg(F.max(F.struct(*times)).alias("_last")).select(F.col("url").alias("_url"), "_last")
+    rows = listings if only is None else listings.filter(only)
+    match = F.col("url").eqNullSafe(F.col("_url"))
+    for t in times:
+        match = match & F.col(t).eqNullSafe(F.col(f"_last.{t}"))
+    met = rows.join(last, match).select(F.struct(*[F.col(f"`{c}`") for c in listings.columns]).alias("row"))
+    one = met.groupBy("row.url").agg(F.max_by("row", F.xxhash64("row")).alias("row"))
+    return one.select("row.*")
+
+
+def latest_pulls(raw: DataFrame) -> DataFrame:
+    """Of each URL the raw pages of its latest pull, found from times alone."""
+    last = raw.groupBy(F.col("url").alias("_url")).agg(F.max("datetime_pulled").alias("_last"))
+    match = F.col("url").eqNullSafe(F.col("_url")) & F.col("datetime_pulled").eqNullSafe(F.col("_last"))
+    return raw.join(last, match, "left_semi")
 
 
 def pages_to_parse(raw: DataFrame, batch: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from forecourt.functions.pricing import predicted_price
 from forecourt.schemas import HOT_DEALS
 from forecourt.session import days, instant
+from forecourt.sources.runs import since_day
 
 
 def recent_listings(
@@ -20,12 +21,16 @@ def recent_listings(
     odometer_range: tuple[float, float] = (0, 300_000),
     year_span: tuple[int, int] = (50, 1),
 ) -> DataFrame:
-    """Recently posted listings with plausible price, mileage and year (ranges exclusive)."""
+    """Recently posted listings with plausible price, mileage and year (ranges exclusive).
+
+    Of a table laid out by day only the files of the window are read.
+    """
     posted = listings.schema["time_posted"].dataType
     price, odometer, year = F.col("price"), F.col("odometer"), F.col("year")
     this_year = F.year(instant(as_of))
+    since = instant(as_of, posted) - days(window_days)
     return listings.filter(
-        (F.col("time_posted") >= instant(as_of, posted) - days(window_days))
+        (F.col("time_posted") >= since) & since_day(listings, since)
         & (price > price_range[0]) & (price < price_range[1])
         & (odometer > odometer_range[0]) & (odometer < odometer_range[1])
         & (year >= this_year - year_span[0]) & (year <= this_year + year_span[1])

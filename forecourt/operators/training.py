@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from forecourt.functions.pricing import FIT_LOG_OFFSET, condition_flag, log_odometer
 from forecourt.session import days, instant
+from forecourt.sources.runs import since_day
 
 #: Exact while a group has no more distinct prices than this.
 QUANTILE_ACCURACY = 10_000
@@ -23,9 +24,13 @@ _REQUIRED = ["make", "model", "year", "odometer", "price", "condition"]
 def fit_filtered(
     listings: DataFrame, as_of: dt.datetime | str, lookback_days: int = 180
 ) -> DataFrame:
-    """Recent listings with nothing important missing, predictors derived."""
+    """Recent listings with nothing important missing, predictors derived.
+
+    Of a table laid out by day only the files of the window are read.
+    """
     posted = listings.schema["time_posted"].dataType
-    keep = F.col("time_posted") >= instant(as_of, posted) - days(lookback_days)
+    since = instant(as_of, posted) - days(lookback_days)
+    keep = (F.col("time_posted") >= since) & since_day(listings, since)
     for column in _REQUIRED:
         keep = keep & F.col(column).isNotNull()
     return listings.filter(keep).select(

@@ -16,13 +16,17 @@ from forecourt.functions.text import correct_make, correct_model
 from forecourt.functions.urls import location_from_url, post_id
 from forecourt.operators import extract, frontier, fuzzy, regression, scoring, standardize, training
 
-from forecourt.sources import sample
+from forecourt.schemas import FRONTIER, LISTINGS, MODELS, RAW_PAGES, RUN_LOG
+from forecourt.plans import jobs
+from forecourt.sources import runs, sample, tables
 
 AS_OF = sample.AS_OF
 # The sample is spread over years, so look further back than the default half year.
 LOOKBACK, MIN_GROUP, BITING_GROUP = 3650, 100, 300
 
 QUERIES: dict = {}
+#: Queries that write tables before they read them, in the session's shared scratch folder.
+STORING: set[str] = set()
 ORACLES: dict[str, str] = {}
 c = F.col
 
@@ -36,6 +40,11 @@ def query(oracle: str, name: str | None = None):
     return register
 
 
+def storing(fn):
+    STORING.add(fn.__name__)
+    return fn
+
+
 def _with(body: str, **ctes: str) -> str:
     parts = {"listings": sample.LISTINGS_SQL, **ctes}
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in parts.items()) + "\n" + body
@@ -901,6 +910,118 @@ def best_deals(spark, sf_dir):
     )
 
 
+# --- stored tables --------------------------------------------------------------------------
+
+
+def _stored_listings(spark, sf_dir, halves: int = 2) -> str:
+    """The listings as a table laid out by month, written in ``halves`` runs of which the last is repeated."""
+    path = runs.scratch_table(spark, "listings")
+    rows = sample.listings(spark, sf_dir).withColumns({k: F.lit(None).cast(LISTINGS[k].dataType) for k in LISTINGS.names if k not in sample.LISTING_COLUMNS})
+    for part in [*range(halves), halves - 1]:
+        runs.append_run(
+            rows.filter(c("l_orderkey") % halves == part), path, f"load-{part}", LISTINGS, "time_posted", extract.lacking(), unit="month",
+        )
+    return path
+
+
+@query(_with(_ROUNDED_FIT + "filtered", filtered=_FILTERED.replace("3650", "180")))
+@storing
+def stored_fit_filtered(spark, sf_dir):
+    """The half year of a table laid out by month: files of other months are not read."""
+    stored = runs.read_runs(spark, _stored_listings(spark, sf_dir), LISTINGS)
+    return _rounded_fit(training.fit_filtered(stored, AS_OF))
+
+
+@query(_with("SELECT url, time_posted, price, odometer, year FROM recent", recent=_RECENT_LISTINGS))
+@storing
+def stored_recent_listings(spark, sf_dir):
+    stored = runs.read_runs(spark, _stored_listings(spark, sf_dir), LISTINGS)
+    return scoring.recent_listings(stored, AS_OF).select("url", "time_posted", "price", "odometer", "year")
+
+
+@query(
+    _with(
+        "SELECT url, location, row_created FROM frontier WHERE url NOT IN (SELECT url FROM raw)",
+        frontier=_FRONTIER,
+        raw=_RAW,
+    )
+)
+@storing
+def frontier_cleaned_in_place(spark, sf_dir):
+    """The frontier written, cleaned and cleaned again under the same name, then read."""
+    queue, pulled = (runs.scratch_table(spark, n) for n in ("frontier", "raw"))
+    runs.append_run(sample.frontier(spark, sf_dir), queue, "queue", FRONTIER)
+    pages = sample.raw_keys(spark, sf_dir).withColumn("raw_html", F.lit(None).cast("string"))
+    runs.append_run(pages, pulled, "pull", RAW_PAGES, "datetime_pulled", unit="month")
+    for _ in range(2):
+        jobs.clean_frontier(spark, queue, pulled, run="clean")
+    runs.append_run(sample.frontier(spark, sf_dir), queue, "queue", FRONTIER)
+    return runs.read_runs(spark, queue, FRONTIER).drop("run")
+
+
+@query(
+    _with(
+        "SELECT run, measure, CAST(value AS DOUBLE) AS value FROM (SELECT concat('load-', l_orderkey % 2) AS run, count(*) AS rows, "
+        + ", ".join(f"count(*) FILTER (WHERE {f} IS NULL) AS no_{f}" for f in _SPARSE_FIELDS)
+        + " FROM listings GROUP BY l_orderkey % 2) UNPIVOT (value FOR measure IN (rows, "
+        + ", ".join(f"no_{f}" for f in _SPARSE_FIELDS) + "))"
+    )
+)
+@storing
+def stored_run_counts(spark, sf_dir):
+    """What each run counted while it wrote; a repeated run counts once."""
+    return runs.run_counts(spark, _stored_listings(spark, sf_dir))
+
+
+@query(
+    _with(
+        """SELECT 'load' AS task, TIMESTAMP '2001-08-01 00:00:00' AS time_started, TIMESTAMP '2001-08-01 00:00:00' AS time_finished,
+  concat(count(*), ' rows, no condition: ', count(*) FILTER (WHERE condition IS NULL)) AS notes FROM listings GROUP BY l_orderkey % 2"""
+    )
+)
+@storing
+def run_log(spark, sf_dir):
+    """A log row for each run of a table, with the counts taken as it was written."""
+    log, stored = runs.scratch_table(spark, "log"), runs.snapshot(spark, _stored_listings(spark, sf_dir))
+    for mark in stored.marks.values():
+        tables.log_run(spark, log, "load", AS_OF, AS_OF, f"{mark['rows']} rows, no condition: {mark['counts']['no_condition']}")
+    return tables.read_table(spark, log, RUN_LOG.fieldNames())
+
+
+@query(
+    _with(
+        """SELECT make, model, CAST(NULL AS DOUBLE) AS intercept, CAST(min(price) AS DOUBLE) AS miles_coeff, CAST(max(price) AS DOUBLE) AS condition_coeff,
+  CAST(max(year) AS DOUBLE) AS year_coeff, CAST(NULL AS DOUBLE) AS r_squared, count(*) AS sample_size FROM listings WHERE l_orderkey % 2 = 1 GROUP BY ALL"""
+    )
+)
+@storing
+def replaced_table(spark, sf_dir):
+    """A table written twice from text columns: the second contents, in the schema's types."""
+    path = f"{runs.scratch_table(spark, 'models')}/table"
+    for part in range(2):
+        rows = sample.listings(spark, sf_dir).filter(c("l_orderkey") % 2 == part).groupBy("make", "model").agg(
+            F.min("price").cast("string").alias("miles_coeff"), F.max("price").cast("string").alias("condition_coeff"),
+            F.max("year").cast("string").alias("year_coeff"), F.count("*").cast("string").alias("sample_size"),
+        )
+        tables.overwrite_table(rows.withColumns({k: F.lit(None).cast("string") for k in ("intercept", "r_squared")}), path, MODELS)
+    return tables.read_table(spark, path)
+
+
+@query(
+    _with(
+        """SELECT url, price FROM listings WHERE l_linestatus = 'F' UNION ALL SELECT url, price FROM listings WHERE l_linestatus = 'F' AND l_orderkey % 2 = 0"""
+    )
+)
+@storing
+def appended_table(spark, sf_dir):
+    """Rows appended in two goes and an empty one; nothing tells repeated rows apart here."""
+    path = f"{runs.scratch_table(spark, 'prices')}/table"
+    rows = sample.listings(spark, sf_dir).filter("l_linestatus = 'F'").select("url", "price", "l_orderkey")
+    for part in (rows, rows.filter("l_orderkey % 2 = 0"), rows.filter("l_orderkey < 0")):
+        tables.append_table(part.select("url", "price"), path)
+    return tables.read_table(spark, path, ["url", "price"])
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: fit the price models and score recent listings, on small tables."""
     return hot_deals(spark, sf_dir, min_group=20)

@@ -42,6 +42,12 @@ JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey
 """
 
+#: Columns of the listings table that the sample has.
+LISTING_COLUMNS = (
+    "url", "location", "make", "model", "name", "title_text", "year", "odometer", "price", "condition", "title", "drive",
+    "cylinders", "type", "vin", "time_posted", "paint", "fuel", "transmission", "latitude", "longitude",
+)
+
 STATES_SQL = """
 SELECT lower(n_name) AS region, r_name AS state
 FROM nation JOIN region ON n_regionkey = r_regionkey

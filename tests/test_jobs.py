@@ -146,8 +146,9 @@ def test_contract_names():
 def test_building_queries_runs_no_job(spark, sf_dir):
     sc = spark.sparkContext
     sc.setJobGroup("building", "building queries")
-    for build in catalog.QUERIES.values():
-        build(spark, sf_dir)
+    for name, build in catalog.QUERIES.items():
+        if name not in catalog.STORING:
+            build(spark, sf_dir)
     ran = [j for j in sc.statusTracker().getJobIdsForGroup("building")]
     sc.setJobGroup("", "")
     # Reading a parquet file's schema is a job of one task; nothing else runs.
