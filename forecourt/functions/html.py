@@ -5,8 +5,8 @@ into the value.  Kept in separate projections the page is
 searched once per field; composed, they serve a single field.
 
 Elements are found by tag plus class or id, whatever the order, quoting and spacing of
-their attributes.  An element may hold others of its own kind, ``NESTING`` deep; deeper ones
-count as text.  Scripts and styles are only searched for scripts.
+their attributes.  An element may hold others of its own kind, to any depth.  Scripts and styles
+are only searched for scripts.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from forecourt.functions.text import decode_entities, number, strip_ws
 
 
-NESTING = 8
+#: Elements inside others of their kind that a pattern takes; what is deeper is found by a scan of the tags.
+SHALLOW = 3
 # Inside a tag: quoted values may contain ">".
 _INSIDE = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
 
@@ -65,23 +66,90 @@ def first_element(html: Column, tag: str, *conditions: str) -> Column:
 
     The mark, the end of the opening tag, tells an empty element from an absent one.
     """
-    return F.regexp_extract(html, _element(tag, *conditions), 1)
+    return _bound(
+        F.regexp_extract(html, _plain_element(tag, *conditions), 1),
+        lambda found: F.when(
+            found.endswith("<"), F.coalesce(F.try_element_at(_nested_elements(html, tag, *conditions), F.lit(1)), F.lit(""))
+        ).otherwise(_closed(found)),
+    )
 
 
 def all_elements(html: Column, tag: str, *conditions: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(_element(tag, *conditions)), F.lit(1))
+    """What each such element holds, in page order; elements inside another of them are part of that one."""
+    return _bound(
+        F.regexp_extract_all(html, F.lit(_plain_element(tag, *conditions)), F.lit(1)),
+        lambda found: F.when(
+            F.exists(found, lambda e: e.endswith("<")), _nested_elements(html, tag, *conditions)
+        ).otherwise(F.transform(found, _closed)),
+    )
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _closed(found: Column) -> Column:
+    return F.when(found.endswith("</"), found.substr(F.lit(1), F.length(found) - 2)).otherwise(found)
 
 
-def _element(tag: str, *conditions: str) -> str:
-    # Up to the closing tag or the end of the page, in possessive runs: the matcher moves
-    # from "<" to "<" without backtracking, so long contents cost neither time nor stack.
-    # Elements of the same kind inside are taken whole, with their closing tags.
+def _plain_element(tag: str, *conditions: str) -> str:
+    """An element with others of its kind inside up to ``SHALLOW`` deep, and the first signs of the tag after that:
+    ``</`` where the element ends, ``<`` where it holds more than this pattern can tell; nothing at the end of the page.
+
+    The contents are possessive runs: the matcher moves from "<" to "<" without backtracking, so long ones
+    cost neither time nor stack.
+    """
     head = opening_tag(tag, *conditions).removesuffix(">")
-    inner = rf"[^<]*+(?:<(?!/(?i:{tag})\s*>)[^<]*+)*+"
     plain = rf"[^<]*+(?:<(?!(?i:{tag})[\s>]|/(?i:{tag})\s*>)[^<]*+)*+"
-    for _ in range(NESTING):
-        inner = rf"{plain}(?:<(?i:{tag})(?=[\s>]){_INSIDE}>{inner}(?:</(?i:{tag})\s*>)?+{plain})*+"
-    return rf"{head}(>{inner})"
+    inner = plain
+    for _ in range(SHALLOW):
+        inner = rf"{plain}(?:<(?i:{tag})(?=[\s>]){_INSIDE}>{inner}</(?i:{tag})\s*>{plain})*+"
+    return rf"{head}(>{inner}(?:</?)?)"
+
+
+def _nested_elements(html: Column, tag: str, *conditions: str) -> Column:
+    """``all_elements`` whatever is inside: one scan of the tags of this kind with a running depth.
+
+    The page is cut at those tags.  An element lasts until the depth falls below the one its opening tag
+    led to, or to the end of the page.
+    """
+    kind = rf"<(?i:{tag})(?=[\s>]){_INSIDE}>|</(?i:{tag})\s*>"
+    opens = f"^{opening_tag(tag, *conditions)}"
+    parts = F.struct(F.regexp_extract_all(html, F.lit(kind), F.lit(0)).alias("tags"), F.split(html, kind, -1).alias("texts"))
+
+    def elements(part: Column) -> Column:
+        tags, texts = part["tags"], part["texts"]
+        # 0: closing, 1: opening, 2: opening with the conditions.
+        kinds = F.transform(tags, lambda t: F.when(t.startswith("</"), 0).when(t.rlike(opens), 2).otherwise(1))
+        none = F.array().cast("array<struct<first:int,end:int>>")
+        zero = F.lit(0)
+        start = F.struct(zero.alias("at"), zero.alias("depth"), zero.alias("level"), zero.alias("first"), none.alias("found"))
+
+        def step(s: Column, k: Column) -> Column:
+            at, depth = s["at"] + 1, s["depth"] + F.when(k == 0, -1).otherwise(1)
+            begins = (s["first"] == 0) & (k == 2)
+            ends = (s["first"] > 0) & (depth < s["level"])
+            return F.struct(
+                at.alias("at"), depth.alias("depth"), F.when(begins, depth).otherwise(s["level"]).alias("level"),
+                F.when(begins, at).when(ends, 0).otherwise(s["first"]).alias("first"),
+                F.when(ends, F.concat(s["found"], F.array(F.struct(s["first"].alias("first"), at.alias("end"))))).otherwise(s["found"]).alias("found"),
+            )
+
+        def finish(s: Column) -> Column:
+            rest = F.array(F.struct(s["first"].alias("first"), (s["at"] + 1).alias("end")))
+            return F.when(s["first"] > 0, F.concat(s["found"], rest)).otherwise(s["found"])
+
+        def source(e: Column) -> Column:
+            inner = F.zip_with(
+                F.slice(tags, e["first"] + 1, e["end"] - e["first"] - 1),
+                F.slice(texts, e["first"] + 2, e["end"] - e["first"] - 1), lambda t, x: F.concat(t, x),
+            )
+            return F.concat(F.lit(">"), F.element_at(texts, e["first"] + 1), F.array_join(inner, ""))
+
+        return F.transform(F.aggregate(kinds, start, step, finish), source)
+
+    return _bound(parts, elements)
 
 
 def strip_comments(html: Column) -> Column:

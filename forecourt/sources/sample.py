@@ -162,7 +162,17 @@ def _escape(text: Column) -> Column:
     return text
 
 
-def _attr(label: str, value: Column, odd: Column) -> Column:
+#: How deep elements of one kind are nested in rendered pages.
+DEPTH = 50
+
+
+def _nested(tag: str, text: Column, deep: Column | None) -> Column:
+    """Text in an element, or in ``DEPTH`` of them where ``deep``."""
+    once = F.concat(F.lit(f"<{tag}>"), text, F.lit(f"</{tag}>"))
+    return once if deep is None else F.when(deep, F.concat(F.lit(f"<{tag}>" * DEPTH), text, F.lit(f"</{tag}>" * DEPTH))).otherwise(once)
+
+
+def _attr(label: str, value: Column, odd: Column, deep: Column | None = None) -> Column:
     """An attribute row, written in one of two equivalent ways; absent when NULL."""
     plain = F.concat(
         F.lit(f'<div class="attr"><span class="labl">{label}:</span> <span class="valu">'),
@@ -171,7 +181,7 @@ def _attr(label: str, value: Column, odd: Column) -> Column:
     )
     varied = F.concat(
         F.lit(f"<div data-n='1' class='attr auto_x'>\n  <span id=l class=labl> {label}: </span>"),
-        F.lit('\n  <div class="tip">a <div>nested</div> tip</div><span title="v > w" class="valu"> <a href="/s">'),
+        F.lit('\n  <div class="tip">a '), _nested("div", F.lit("nested"), deep), F.lit(' tip</div><span title="v > w" class="valu"> <a href="/s">'),
         _escape(value),
         F.lit("</a> </span>\n</div>\n"),
     )
@@ -225,7 +235,7 @@ def render_pages(listings_df: DataFrame) -> DataFrame:
         F.lit('<span class="slider-info">image 1 of '), c("l_linenumber").cast("string"),
         F.lit('</span>\n<div class="attrgroup"><span class="valu year"> '), or_blank("year"),
         F.lit('</span>\n<a href="/x" class="valu makemodel"> '), _escape(or_blank("name")), F.lit(" </a></div>\n"),
-        _attr("odometer", miles, odd),
+        _attr("odometer", miles, odd, thousands),
         _attr("condition", c("condition"), odd),
         _attr("title status", F.lit("unknown"), odd),
         _attr("title status", c("title"), ~odd),
@@ -236,7 +246,9 @@ def render_pages(listings_df: DataFrame) -> DataFrame:
         _attr("VIN", c("vin"), ~odd),
         _attr("fuel", c("fuel"), odd),
         _attr("transmission", c("transmission"), ~odd),
-        F.lit('<section class="body" id="postingbody"><div><p>QR</p><script>var a = "<p>";</script></div>'),
+        F.lit('<section class="body" id="postingbody"><div>'),
+        _nested("section", F.lit("<p>QR</p>"), thousands),
+        F.lit('<script>var a = "<p>";</script></div>'),
         body, F.lit("</section></body></html>"),
     )
     return listings_df.select(

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,3 +132,35 @@ def test_jsonld_description_and_geo(value):
 
 def test_bad_zero_division_and_logs_do_not_throw(value):
     assert value(lambda x: F.log(x.cast("double") + 1), "-1") is None
+
+
+def _tree(rng, depth):
+    """A random page of divs, some with the class looked for, and what the outermost of those hold."""
+    page, found = "", []
+    for _ in range(rng.randint(0, 3)):
+        page += rng.choice(["x", "a < b", "<b>y</b>", "<divx>", "<div_>", ""])
+        if depth and rng.random() < 0.8:
+            inner, below = _tree(rng, depth - 1)
+            if rng.random() < 0.4:
+                page += rng.choice(['<div class="k">', "<DIV id=1 class='a k'>", '<div title="x > y" class=k>']) + inner + rng.choice(["</div>", "</DIV >"])
+                found.append(inner)
+            else:
+                page += rng.choice(["<div>", '<div class="kk">']) + inner + "</div>"
+                found += below
+    return page, found
+
+
+def test_elements_of_any_depth(spark):
+    rng = random.Random(5)
+    cases = [_tree(rng, d % 9) for d in range(400)]
+    deep = "<div>" * 500 + "core" + "</div>" * 500
+    cases += [(f'<p><div class="k">{deep}</div>after', [deep]), (f'<div class="k">{deep}', [deep]), ("</div></div><div class=k>a<div>b</div>c</div>", ["a<div>b</div>c"]),
+              ('<div class="k">a<div class="k">b</div></div><div class="k"></div>', ['a<div class="k">b</div>', ""]), ("<div class=k>a<div>b</div>c", ["a<div>b</div>c"])]
+    df = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(cases)], "i int, page string")
+    got = df.select("i", H.all_elements(F.col("page"), "div", H.by_class("k")).alias("every"), H.first_element(F.col("page"), "div", H.by_class("k")).alias("first")).collect()
+    for r in got:
+        want = [">" + x for x in cases[r.i][1]]
+        assert (r.every, r.first) == (want, want[0] if want else ""), cases[r.i][0]
+    assert df.filter("page is null").count() == 0
+    null = spark.range(1).select(F.lit(None).cast("string").alias("page")).select(H.all_elements(F.col("page"), "div"), H.first_element(F.col("page"), "div")).first()
+    assert tuple(null) == (None, None)
