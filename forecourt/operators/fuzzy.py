@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.functions.similarity import SCORERS, normalise, similarities, words
+from forecourt.functions.similarity import MEASURES, SCORERS, normalise, similarities, words
 
 _SLACK = 1e-9
 #: Runs of characters are no longer than this; shorter stretches only propose more.
@@ -145,19 +145,34 @@ def fuzzy_candidates(inputs: DataFrame, targets: DataFrame, cutoff: float,
     return forth.unionByName(back).distinct()
 
 
+def _edit_cutoff(cutoff: float, measure: str) -> float:
+    """The cutoff whose edits allow for all that ``measure`` lets pass.
+
+    Texts of lengths n <= m with 2L / (n + m) >= c (whole points: half a point less) differ by n + m - 2L insertions
+    and deletions.  L <= n bounds m by n (2 / c - 1), and so these by 2 n (1 - c) / c: twice what the same cutoff allows
+    for edits, which is what c / (2 - c) allows.
+    """
+    if measure == "edits":
+        return cutoff
+    c = max(cutoff - 0.005, 0.001)
+    return c / (2 - c)
+
+
 def fuzzy_match(
     inputs: DataFrame, targets: DataFrame, cutoff: float = 0.90, top_n: int = 3,
-    block_on: list[str] | None = None,
+    block_on: list[str] | None = None, measure: str = "edits",
 ) -> DataFrame:
     """Matches of each distinct ``input`` among the distinct ``target`` values: ``input, match``.
 
     An input that is itself a target matches only itself.  Otherwise each scorer puts
     forward its ``top_n`` best targets of at least ``cutoff`` (equal scores in alphabetical
     order), and all of them are returned once.  ``block_on`` names columns of both sides
-    that must agree, such as the make.
+    that must agree, such as the make.  ``measure`` is that of the scores (``similarity.MEASURES``).
     """
     if not 0 < cutoff <= 1:
         raise ValueError("cutoff must be above 0 and at most 1")
+    if measure not in MEASURES:
+        raise ValueError(f"measure must be one of {list(MEASURES)}")
     on = block_on or []
     inputs = inputs.select(*on, "input").distinct()
     targets = targets.select(*on, "target").distinct()
@@ -166,14 +181,14 @@ def fuzzy_match(
         *on, "input", F.col("input").alias("match")
     )
     open_inputs = inputs.join(same, [*on, "input"], "left_anti")
-    pairs = fuzzy_candidates(open_inputs, targets, cutoff, on).withColumns(
+    pairs = fuzzy_candidates(open_inputs, targets, _edit_cutoff(cutoff, measure), on).withColumns(
         {"_a": normalise(F.col("input")), "_b": normalise(F.col("target"))}
     )
     scores = F.array(
         *[F.struct(F.lit(s).alias("scorer"), F.col(s).alias("score")) for s in SCORERS]
     )
     scored = (
-        similarities(pairs, "_a", "_b")
+        similarities(pairs, "_a", "_b", measure)
         .select(*on, "input", "target", F.inline(scores))
         .filter(F.col("score") >= cutoff)
     )

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.functions import html as H
-from forecourt.functions.pricing import predicted_price
+from forecourt.functions.pricing import condition_flag, predicted_price
 from forecourt.functions.text import correct_make, correct_model
 from forecourt.functions.urls import location_from_url, post_id
 from forecourt.operators import extract, frontier, fuzzy, regression, scoring, standardize, training
@@ -616,7 +616,9 @@ def _ratio_sql(a: str, b: str) -> str:
   ELSE 1 - levenshtein({a}, {b})::DOUBLE / greatest(length({a}), length({b})) END"""
 
 
-_FUZZY_ORACLE = f"""WITH inputs AS ({_FUZZY_INPUTS}), targets AS ({_FUZZY_TARGETS}),
+def _fuzzy_sql(inputs: str, targets: str, score, partial: str, cutoff: float) -> str:
+    """All pairs scored in four ways; ``score(a, b)`` and the ``partial`` rows are the measure's."""
+    return f"""WITH inputs AS ({inputs}), targets AS ({targets}),
 pairs AS (
   SELECT input, target, trim(regexp_replace(lower(input), '[^a-z0-9]+', ' ', 'g')) AS a,
     trim(regexp_replace(lower(target), '[^a-z0-9]+', ' ', 'g')) AS b
@@ -637,19 +639,22 @@ sets AS (
       array_to_string(list_filter(wb, lambda w: NOT list_contains(wa, w)), ' '))) AS t2
   FROM parts),
 scored AS (
-  SELECT input, target, 1 AS scorer, {_ratio_sql('a', 'b')} AS score FROM sets
-  UNION ALL SELECT input, target, 2, list_max(list_transform(range(1, length(l) - length(s) + 2),
-    lambda i: 1 - levenshtein(s, substr(l, i, length(s)))::DOUBLE / length(s))) FROM sets
-  UNION ALL SELECT input, target, 3, {_ratio_sql('sa', 'sb')} FROM sets
-  UNION ALL SELECT input, target, 4, greatest({_ratio_sql('t0', 't1')}, {_ratio_sql('t0', 't2')},
-    {_ratio_sql('t1', 't2')}) FROM sets)
+  SELECT input, target, 1 AS scorer, {score('a', 'b')} AS score FROM sets
+  UNION ALL SELECT input, target, 2, {partial}
+  UNION ALL SELECT input, target, 3, {score('sa', 'sb')} FROM sets
+  UNION ALL SELECT input, target, 4, greatest({score('t0', 't1')}, {score('t0', 't2')},
+    {score('t1', 't2')}) FROM sets)
 SELECT input, target AS match FROM (
   SELECT *, row_number() OVER (PARTITION BY input, scorer ORDER BY score DESC, target) AS rn
-  FROM scored WHERE score >= 0.9) WHERE rn <= 3
+  FROM scored WHERE score >= {cutoff}) WHERE rn <= 3
 UNION SELECT input, input FROM inputs WHERE input IN (SELECT target FROM targets)"""
 
 
-@query(_FUZZY_ORACLE)
+_EDIT_STRETCHES = """list_max(list_transform(range(1, length(l) - length(s) + 2),
+    lambda i: 1 - levenshtein(s, substr(l, i, length(s)))::DOUBLE / length(s))) FROM sets"""
+
+
+@query(_fuzzy_sql(_FUZZY_INPUTS, _FUZZY_TARGETS, _ratio_sql, _EDIT_STRETCHES, 0.9))
 def fuzzy_match(spark, sf_dir):
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     name = c("p_name")
@@ -670,6 +675,51 @@ def fuzzy_match(spark, sf_dir):
     )
 
 
+_CHARS_INPUTS = """SELECT DISTINCT input FROM (
+  SELECT replace(replace(p_name, 'ar', 'arr'), 'on', 'om') AS input FROM part
+  UNION ALL SELECT concat(split_part(p_name, ' ', 2), ' ', split_part(p_name, ' ', 1)) FROM part
+  UNION ALL SELECT concat(replace(p_name, 'e', 'ee'), '!') FROM part
+  UNION ALL SELECT concat(p_name, ' ', p_name, ' u') FROM part
+  UNION ALL SELECT lower(replace(p_brand, '#', ' 0')) FROM part
+  UNION ALL SELECT p_name FROM part)"""
+_CHARS_TARGETS = "SELECT p_name AS target FROM part UNION SELECT lower(p_brand) FROM part"
+
+
+def _points_sql(a: str, b: str) -> str:
+    """Whole points of twice the common subsequence over both lengths, by dynamic programming."""
+    chars = lambda x: f"string_split({x}, '')"
+    row = f"""list_reduce(generate_series(1, length({b})), lambda new, j: list_append(new, CASE WHEN substr({b}, j, 1) = x
+      THEN row_[j] + 1 ELSE greatest(row_[j + 1], new[j]) END), [0::BIGINT])"""
+    matched = f"list_last(list_reduce({chars(a)}, lambda row_, x: {row}, list_resize([0::BIGINT], length({b}) + 1, 0::BIGINT)))"
+    both = f"(length({a}) + length({b}))"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE (400 * {matched} + {both}) // (2 * {both}) END"
+
+
+_POINT_STRETCHES = f"""points FROM (SELECT input, target, max({_points_sql('s', 'piece')}) AS points FROM (
+    SELECT input, target, s, substr(l, unnest(generate_series(1, length(l) - length(s) + 1)), length(s)) AS piece
+    FROM sets) GROUP BY ALL)"""
+
+
+@query(_fuzzy_sql(_CHARS_INPUTS, _CHARS_TARGETS, _points_sql, _POINT_STRETCHES, 90))
+def fuzzy_match_chars(spark, sf_dir):
+    """Scores by matching characters, in whole points."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    name = c("p_name")
+    swap = lambda s, a, b: F.replace(s, F.lit(a), F.lit(b))
+    typed = F.array(
+        swap(swap(name, "ar", "arr"), "on", "om"),
+        F.concat(F.split_part(name, F.lit(" "), F.lit(2)), F.lit(" "), F.split_part(name, F.lit(" "), F.lit(1))),
+        F.concat(swap(name, "e", "ee"), F.lit("!")),
+        F.concat(name, F.lit(" "), name, F.lit(" u")),
+        F.lower(swap(c("p_brand"), "#", " 0")),
+        name,
+    )
+    return fuzzy.fuzzy_match(
+        part.select(F.explode(typed).alias("input")),
+        part.select(F.explode(F.array(name, F.lower("p_brand"))).alias("target")), measure="characters",
+    )
+
+
 # --- training set ---------------------------------------------------------------------------
 
 _FILTERED = """SELECT make, model, year, ln(odometer + 1) AS log_odometer, price,
@@ -813,6 +863,63 @@ def lm_fit(spark, sf_dir):
     )
 
 
+# Makes by number modulo 5: a single year; a single price; no good condition; no bad one; two listings.
+_ODD = """SELECT make, kind, ln(odometer + 1) AS o, price_ AS p, c, y FROM (
+  SELECT *, CASE kind WHEN 1 THEN 1000 ELSE price END AS price_,
+    CASE kind WHEN 2 THEN 0 WHEN 3 THEN 1 WHEN 4 THEN CASE WHEN url = high THEN 1 ELSE 0 END
+      ELSE CASE WHEN condition IN ('new', 'like new', 'excellent') THEN 1
+        WHEN condition IN ('good', 'fair', 'salvage') THEN 0 END END AS c,
+    CASE kind WHEN 0 THEN 1995 WHEN 4 THEN CASE WHEN url = high THEN 1995 ELSE 1990 END ELSE year END AS y
+  FROM (SELECT *, CAST(replace(make, 'brand#', '') AS INT) % 5 AS kind,
+      min(url) OVER (PARTITION BY make) AS low, max(url) OVER (PARTITION BY make) AS high FROM listings)
+  WHERE kind <> 4 OR url = low OR url = high) WHERE c IS NOT NULL"""
+# Two predictors u and v: the second is replaced by what the first leaves of it.
+_ODD_PAIRS = """SELECT make, kind, avg(p) AS mp, avg(u) AS mu, avg(v) AS mv, any_value(a) AS a, regr_slope(p, u) AS pu,
+  regr_slope(p, v - a * u) AS bv, count(*) AS n
+FROM (SELECT *, regr_slope(v, u) OVER (PARTITION BY make) AS a FROM
+  (SELECT make, kind, p, o AS u, CASE WHEN kind = 0 THEN c ELSE y END AS v FROM odd WHERE kind IN (0, 2, 3))) GROUP BY ALL"""
+# Two rows: the solution of least norm, transpose(A) inverse(A transpose(A)) p.
+_ODD_TWO = """SELECT make, o1 + 0 AS o1, o2, p1, p2, o1 * o1 + 1 + 1990 * 1990 AS g11, o1 * o2 + 1 + 1990 * 1995 AS g12, o2 * o2 + 2 + 1995 * 1995 AS g22
+FROM (SELECT make, max(o) FILTER (WHERE c = 0) AS o1, max(o) FILTER (WHERE c = 1) AS o2,
+  max(p) FILTER (WHERE c = 0) AS p1, max(p) FILTER (WHERE c = 1) AS p2 FROM odd WHERE kind = 4 GROUP BY make)"""
+
+
+@query(
+    _with(
+        """SELECT make, round(intercept, 0) + 0 AS intercept, round(miles_coeff, 2) + 0 AS miles_coeff, round(condition_coeff, 0) + 0 AS condition_coeff,
+  round(year_coeff, 2) + 0 AS year_coeff, round(r_squared, 6) AS r_squared, n AS sample_size FROM solved""",
+        odd=_ODD,
+        pairs=_ODD_PAIRS,
+        two=_ODD_TWO,
+        fits="""SELECT make, kind, n, pu - bv * a AS bu, bv, mp - (pu - bv * a) * mu - bv * mv AS level FROM pairs""",
+        errors="""SELECT make, 1 - sum(power(p - level - bu * o - bv * CASE WHEN f.kind = 0 THEN c ELSE y END, 2)) / sum(power(p - mean, 2)) AS r2
+FROM (SELECT *, avg(p) OVER (PARTITION BY make) AS mean FROM odd) JOIN fits f USING (make) GROUP BY make""",
+        solved="""SELECT make, CASE WHEN kind <> 3 THEN level END AS intercept, bu AS miles_coeff,
+    CASE kind WHEN 0 THEN bv WHEN 3 THEN level ELSE 0 END AS condition_coeff, CASE WHEN kind = 0 THEN 0 ELSE bv END AS year_coeff, r2 AS r_squared, n
+  FROM fits JOIN errors USING (make)
+  UNION ALL SELECT make, 1000, 0, 0, 0, NULL, count(*) FROM odd WHERE kind = 1 GROUP BY make
+  UNION ALL SELECT make, s1 + s2, o1 * s1 + o2 * s2, s2, 1990 * s1 + 1995 * s2, 1, 2 FROM (
+    SELECT make, o1, o2, (g22 * p1 - g12 * p2) / (g11 * g22 - g12 * g12) AS s1, (g11 * p2 - g12 * p1) / (g11 * g22 - g12 * g12) AS s2 FROM two)""",
+    )
+)
+def lm_fit_degenerate(spark, sf_dir):
+    """Groups that leave a predictor out, or cannot be fitted in the ordinary way; each has its row."""
+    rows = sample.listings(spark, sf_dir).withColumn("kind", F.replace("make", F.lit("brand#"), F.lit("")).cast("int") % 5)
+    ends = rows.groupBy("make").agg(F.min("url").alias("low"), F.max("url").alias("high"))
+    picked = rows.join(ends, "make").filter((c("kind") != 4) | (c("url") == c("low")) | (c("url") == c("high")))
+    last, kind = c("url") == c("high"), c("kind")
+    odd = picked.select(
+        "make", F.lit("any").alias("model"), F.log(c("odometer") + 1).alias("log_odometer"),
+        F.when(kind == 1, 1000.0).otherwise(c("price")).alias("price"),
+        F.when(kind == 2, 0).when(kind == 3, 1).when(kind == 4, last.cast("int")).otherwise(condition_flag(c("condition"))).alias("condition_mapped"),
+        F.when(kind == 0, 1995).when(kind == 4, F.when(last, 1995).otherwise(1990)).otherwise(c("year")).alias("year"),
+    )
+    digits = {"intercept": 0, "miles_coeff": 2, "condition_coeff": 0, "year_coeff": 2}
+    return regression.fit_models(odd).select(
+        "make", *[(F.round(k, n) + 0.0).alias(k) for k, n in digits.items()], F.round("r_squared", 6).alias("r_squared"), "sample_size",
+    )
+
+
 @query(_with("SELECT url, time_posted, price, odometer, year FROM recent", recent=_RECENT_LISTINGS))
 def recent_listings(spark, sf_dir):
     return scoring.recent_listings(sample.listings(spark, sf_dir), AS_OF).select(

@@ -1,7 +1,10 @@
 import random
 
+import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 
+from forecourt.functions import similarity
 from forecourt.operators import fuzzy, standardize
 
 TEXTS = "url string, name string, title_text string"
@@ -80,20 +83,46 @@ def ratio(a, b):
     return 1 - distance(a, b) / max(len(a), len(b)) if a and b else 0.0
 
 
-def four_scores(a, b):
+def four_scores(a, b, ratio=ratio):
     s, l = sorted((a, b), key=len)
     wa, wb = set(a.split()), set(b.split())
     t0, t1, t2 = (" ".join(sorted(wa & wb) + sorted(x)) for x in ((), wa - wb, wb - wa))
     windows = (l[i : i + len(s)] for i in range(len(l) - len(s) + 1))
     return [
         ratio(a, b),
-        max((1 - distance(s, w) / len(s) for w in windows), default=0.0) if s else 0.0,
+        max((ratio(s, w) for w in windows), default=0.0),
         ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split()))),
         max(ratio(t0, t1), ratio(t0, t2), ratio(t1, t2)),
     ]
 
 
-def test_fuzzy_agrees_with_brute_force(spark):
+def common(a, b):
+    """Longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def points(a, b):
+    both = len(a) + len(b)
+    return (400 * common(a, b) + both) // (2 * both) / 100 if a and b else 0.0
+
+
+def test_matched_characters(spark):
+    rnd = random.Random(1)
+    text = lambda: "".join(rnd.choice("abcd é") for _ in range(rnd.choice([1, 5, 20, 59, 60, 61, 121])))
+    cases = [("", "a"), ("a", ""), ("kitten", "sitting"), ("x" * 130, "y"), *[(text(), text()) for _ in range(150)]]
+    df = spark.createDataFrame(cases, "a string, b string")
+    got = df.select("a", "b", similarity.matched_characters(F.col("a"), F.col("b")).alias("n"), similarity.matched_ratio(F.col("a"), F.col("b")).alias("r")).collect()
+    assert all((r.n, r.r) == (common(r.a, r.b), points(r.a, r.b)) for r in got) and len(got) == len(cases)
+
+
+@pytest.mark.parametrize("measure", ["edits", "characters"])
+def test_fuzzy_agrees_with_brute_force(spark, measure):
     rnd = random.Random(3)
     vocabulary = ["ford", "f150", "lariat", "camry", "camri", "civic", "si", "x", "transit", "cfx"]
     text = lambda: " ".join(rnd.choice(vocabulary) for _ in range(rnd.randint(1, 4)))
@@ -112,13 +141,13 @@ def test_fuzzy_agrees_with_brute_force(spark):
             if i in targets:
                 expected.add((i, i))
                 continue
-            scores = {t: four_scores(i.strip(), t) for t in targets}
+            scores = {t: four_scores(i.strip(), t, ratio if measure == "edits" else points) for t in targets}
             for k in range(4):
                 ok = sorted((-s[k], t) for t, s in scores.items() if s[k] >= cutoff)
                 expected |= {(i, t) for _, t in ok[:3]}
         got = fuzzy.fuzzy_match(
             spark.createDataFrame([(i,) for i in inputs], "input string"),
-            spark.createDataFrame([(t,) for t in targets], "target string"), cutoff)
+            spark.createDataFrame([(t,) for t in targets], "target string"), cutoff, measure=measure)
         assert {tuple(r) for r in got.collect()} == expected
         assert "NestedLoop" not in plan_of(got) and "Cartesian" not in plan_of(got)
 
