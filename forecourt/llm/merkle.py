@@ -12,7 +12,7 @@ Addresses are arithmetic: building a block and reading the sibling at any depth
 of the next level of blocks, until a tree has one block.
 
 *At scale.*  Places in a tree come from one range sort and the row counts of its partitions; a language with most of
-the rows is many blocks.  A task holds one block (4,096 digests) and the path above it.  The driver sees one number a level.
+the rows is many blocks.  A task holds one block (4,096 digests) and the path above it.  The driver sees whether a level has more than one.
 
 Cases: null ids come first in their tree, rows of one id in order of their leaves, repeated rows in any order (they are
 equal); a null field is told from an empty one; a tree of one row has its leaf as subroot; an empty table has no
@@ -50,9 +50,9 @@ def address(levels: int, depth: int, index: np.ndarray) -> np.ndarray:
     return (1 << top) - 1 + subtree * ((1 << levels - top) - 1) + address(levels - top, below, within)
 
 
-def _height(nodes: int, most: int) -> int:
-    """Levels above the leaves of a block, in a level of so many nodes."""
-    return most if nodes > 1 << most else (nodes - 1).bit_length()
+def _height(block: int, leaves: int, most: int) -> int:
+    """Levels above the leaves of a block: ``most``, unless it is all of its tree."""
+    return most if block else (leaves - 1).bit_length()
 
 
 def _widths(leaves: int, height: int) -> list[int]:
@@ -110,27 +110,29 @@ def leaf(values: list[Column]) -> Column:
 
 
 def _blocks(rows: DataFrame, height: int) -> DataFrame:
-    """``(tree, block, n, height, nodes, root)`` of the nodes ``rows(tree, pos, digest)`` of one level; ``n``: nodes of the level."""
+    """``(tree, block, height, leaves, nodes, root)`` of the nodes ``rows(tree, pos, digest)`` of one level.
+
+    The key is a pair, so that the blocks of a tree are dealt to all tasks.
+    """
 
     def build(table: pa.Table) -> pa.Table:
         table = table.sort_by("pos")
-        n = table.column("n")[0].as_py()
-        h = _height(n, height)
+        at = table.column("at")[0].as_py()
+        h = _height(at["block"], table.num_rows, height)
         nodes = built(table.column("digest").to_pylist(), h)
         return pa.table([
-            table.column("tree").slice(0, 1), table.column("block").slice(0, 1), pa.array([n], pa.int64()), pa.array([h], pa.int32()),
+            pa.array([at["tree"]], pa.int64()), pa.array([at["block"]], pa.int64()), pa.array([h], pa.int32()),
             pa.array([table.num_rows], pa.int32()), pa.array([nodes.tobytes()], pa.binary()), pa.array([nodes[0].tobytes()], pa.binary()),
-        ], ["tree", "block", "n", "height", "leaves", "nodes", "root"])
+        ], ["tree", "block", "height", "leaves", "nodes", "root"])
 
-    sizes = rows.groupBy(F.col("tree").alias("of_tree")).agg((F.max("pos") + 1).alias("n"))
-    sized = rows.select("tree", "pos", "digest", F.shiftright("pos", height).alias("block")).join(sizes, F.col("tree") == F.col("of_tree")).drop("of_tree")
-    return sized.groupBy("tree", "block").applyInArrow(build, "tree bigint, block bigint, n bigint, height int, leaves int, nodes binary, root binary")
+    at = F.struct("tree", F.shiftright("pos", height).alias("block")).alias("at")
+    return rows.select(at, "pos", "digest").groupBy("at").applyInArrow(build, "tree bigint, block bigint, height int, leaves int, nodes binary, root binary")
 
 
 def _levels(rows: DataFrame, height: int) -> list[DataFrame]:
     """The stored blocks of each level, leaves first, until every tree has one block."""
     levels = [staged(_blocks(rows, height), "blocks")]
-    while (levels[-1].agg(F.max("n")).first()[0] or 0) > 1 << height:
+    while not levels[-1].filter("block > 0").isEmpty():
         levels.append(staged(_blocks(levels[-1].select("tree", F.col("block").alias("pos"), F.col("root").alias("digest")), height), "blocks"))
     return levels
 
@@ -143,32 +145,33 @@ def _steps(path: list[tuple[str, str]]) -> list[dict]:
     return [{"side": s, "digest": d} for s, d in path]
 
 
-def _paths(levels: list[DataFrame], height: int) -> DataFrame | None:
-    """``(tree, pos, path)`` for each leaf of the lowest of these levels: the way to the root of its tree.  None without levels."""
+def _under(blocks: DataFrame, up: DataFrame) -> DataFrame:
+    """Blocks with what is known of their root: ``up(tree, pos, subroot, root, path)`` of the nodes above."""
+    known = up.select(F.col("tree").alias("up_tree"), F.col("pos").alias("up_pos"), "subroot", "path", F.col("root").alias("end"))
+    return blocks.drop("root").join(known, (F.col("tree") == F.col("up_tree")) & (F.col("block") == F.col("up_pos"))).drop("up_tree", "up_pos")
+
+
+def _paths(blocks: DataFrame, height: int) -> DataFrame:
+    """``(tree, pos, subroot, root, path)`` for each leaf of blocks that know their way up: the whole way."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 nodes = np.frombuffer(row["nodes"], np.uint8).reshape(-1, 32)
                 paths = siblings(nodes, row["height"], row["leaves"])
                 first, n = row["block"] << height, len(paths)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([row["tree"]] * n, pa.int64()), pa.array(range(first, first + n), pa.int64()),
+                    pa.array([row["subroot"]] * n, pa.string()), pa.array([row["end"]] * n, pa.string()),
                     pa.array([_steps(p) + (row["path"] or []) for p in paths], _PATH_TYPE),
-                ], ["tree", "pos", "path"])
+                ], ["tree", "pos", "subroot", "root", "path"])
 
-    paths = None
-    for blocks in reversed(levels):
-        paths = _above(blocks, paths).mapInArrow(of, f"tree bigint, pos bigint, path {_PATH}")
-    return paths
+    return blocks.mapInArrow(of, f"tree bigint, pos bigint, subroot string, root string, path {_PATH}")
 
 
-def _above(blocks: DataFrame, paths: DataFrame | None) -> DataFrame:
-    """Blocks with the path of their root."""
-    if paths is None:
-        return blocks.withColumn("path", F.lit(None).cast(_PATH))
-    up = paths.select(F.col("tree").alias("up_tree"), F.col("pos").alias("up_pos"), "path")
-    return blocks.join(up, (F.col("tree") == F.col("up_tree")) & (F.col("block") == F.col("up_pos"))).drop("up_tree", "up_pos")
+def _hex(digest: str) -> Column:
+    return F.lower(F.hex(digest))
 
 
 @dataclass(frozen=True)
@@ -189,14 +192,16 @@ class Manifest:
     def proofs(self) -> DataFrame:
         """``(id, lang, leaf, other, subroot, root, path)`` of every row; ``path`` leads from its leaf to the root."""
         height = self.height
-        # From each subroot to the root.
-        top = _paths(self.tops, height).select(F.col("pos").alias("t_tree"), F.col("path").alias("t_path"))
-        subroots = self.levels[-1].select(F.col("tree").alias("s_tree"), F.lower(F.hex("root")).alias("subroot"))
-        upper = subroots.join(top, F.col("s_tree") == F.col("t_tree")).drop("t_tree").withColumn("root", F.lit(self.root()).cast("string"))
-        blocks = _above(self.levels[0].drop("root"), _paths(self.levels[1:], height))
-        blocks = blocks.join(upper, F.col("tree") == F.col("s_tree")).select(
-            F.col("tree").alias("b_tree"), F.col("block").alias("b_block"), "height", "leaves", "nodes", "path", "subroot", "root", "t_path",
-        )
+        # Over the subroots, then down the languages' trees to the blocks of leaves.
+        known = self.tops[-1].withColumns({"subroot": F.lit(None).cast("string"), "path": F.lit(None).cast(_PATH), "end": _hex("root")}).drop("root")
+        for level in reversed(self.tops[:-1]):
+            known = _under(level, _paths(known, height))
+        top = _paths(known, height).select(F.col("pos").alias("t_tree"), F.col("path"), F.col("root").alias("end"))
+        ends = self.levels[-1].withColumn("subroot", _hex("root")).drop("root")
+        blocks = ends.join(top, F.col("tree") == F.col("t_tree")).drop("t_tree")
+        for level in reversed(self.levels[:-1]):
+            blocks = _under(level, _paths(blocks, height))
+        blocks = blocks.withColumnsRenamed({"tree": "b_tree", "block": "b_block"})
         members = self.leaves.groupBy("tree", F.shiftright("pos", height).alias("block")).agg(F.collect_list(F.struct("pos", "id", "lang", "other")).alias("rows"))
         whole = members.join(blocks, (F.col("tree") == F.col("b_tree")) & (F.col("block") == F.col("b_block")))
         from pyspark.sql.pandas.types import to_arrow_type
@@ -211,13 +216,13 @@ class Manifest:
                     h, n = row["height"], row["leaves"]
                     paths = siblings(nodes, h, n)
                     own = nodes[address(h + 1, h, np.arange(n))]
-                    up = (row["path"] or []) + (row["t_path"] or [])
+                    up = row["path"] or []
                     rows, first = row["rows"], row["block"] << height
                     at = [r["pos"] - first for r in rows]
                     yield pa.RecordBatch.from_arrays([
                         pa.array([r["id"] for r in rows], kinds[0]), pa.array([r["lang"] for r in rows], kinds[1]),
                         pa.array([own[k].tobytes().hex() for k in at], pa.string()), pa.array([r["other"] for r in rows], pa.string()),
-                        pa.array([row["subroot"]] * len(rows), pa.string()), pa.array([row["root"]] * len(rows), pa.string()),
+                        pa.array([row["subroot"]] * len(rows), pa.string()), pa.array([row["end"]] * len(rows), pa.string()),
                         pa.array([_steps(paths[k]) + up for k in at], _PATH_TYPE),
                     ], ["id", "lang", "leaf", "other", "subroot", "root", "path"])
 
