@@ -45,13 +45,13 @@ class _Chunk:
         self.bytes += len(text)
 
 
-def chunked(docs: DataFrame, split: Split, id_col: str, text_col: str, group_col: str | None = None, fixed: dict[bytes, int] | None = None, counted: bool = False, size: int = CHUNK_BYTES) -> DataFrame:
-    """``(chunk, grp, ids, lens, n_words, words, counts, packed, codes)``: rows of one value of ``group_col`` to a chunk.
+def chunked(docs: DataFrame, split: Split, id_col: str, text_col: str, group_col: str | None = None, fixed: dict[bytes, int] | None = None, size: int = CHUNK_BYTES) -> DataFrame:
+    """``(chunk, grp, ids, lens, total, packed, codes)``: rows of one value of ``group_col`` to a chunk.
 
     ``split`` gives the words of a text's UTF-8 bytes (null: none), none of which may hold a blank; ``fixed`` holds codes
-    known before, for ends of pieces and what is no word.  ``ids`` and ``lens`` are the rows' ids and numbers of codes.
-    ``packed`` and ``codes`` are the word list and the codes, compressed, as ``words_of`` and ``codes_of`` read them;
-    ``words`` and ``counts`` (occurrences) are filled if ``counted``.
+    known before, for ends of pieces and what is no word.  ``ids`` and ``lens`` are the rows' ids and numbers of codes,
+    ``total`` the number of words.  ``packed`` and ``codes`` are the word list and the codes, compressed, as ``words_of``
+    and ``codes_of`` read them.
     Chunk numbers are unique and stay as they are once the table is written.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -65,7 +65,7 @@ def chunked(docs: DataFrame, split: Split, id_col: str, text_col: str, group_col
 
         def closed(keys: list) -> pa.RecordBatch:
             nonlocal made
-            rows: dict[str, list] = {k: [] for k in ("chunk", "grp", "ids", "lens", "n_words", "words", "counts", "packed", "codes")}
+            rows: dict[str, list] = {k: [] for k in ("chunk", "grp", "ids", "lens", "total", "packed", "codes")}
             for key in keys:
                 c = open_chunks.pop(key)
                 codes = np.concatenate(c.parts)
@@ -74,16 +74,13 @@ def chunked(docs: DataFrame, split: Split, id_col: str, text_col: str, group_col
                 rows["ids"].append(c.ids)
                 rows["lens"].append(c.lens)
                 words = c.codes.words
-                rows["n_words"].append(len(words))
-                rows["words"].append([w.decode("utf-8") for w in words] if counted else [])
-                rows["counts"].append(np.bincount(codes, minlength=len(words) + 1)[1:] if counted else [])
-                rows["packed"].append(_small(b" ".join(words)))
-                rows["codes"].append(_small(codes.astype(_kind(len(words))).tobytes()))
+                rows["total"].append(int((codes != BREAK).sum()))
+                rows["packed"].append(small(b" ".join(words)))
+                rows["codes"].append(small(codes.astype(_kind(len(words))).tobytes()))
                 made += 1
             return pa.RecordBatch.from_arrays([
                 pa.array(rows["chunk"], pa.int64()), pa.array(rows["grp"], pa.string()), pa.array(rows["ids"], pa.list_(id_type)),
-                pa.array(rows["lens"], pa.list_(pa.int32())), pa.array(rows["n_words"], pa.int32()), pa.array(rows["words"], pa.list_(pa.string())),
-                pa.array(rows["counts"], pa.list_(pa.int64())), pa.array(rows["packed"], pa.binary()), pa.array(rows["codes"], pa.binary()),
+                pa.array(rows["lens"], pa.list_(pa.int32())), pa.array(rows["total"], pa.int64()), pa.array(rows["packed"], pa.binary()), pa.array(rows["codes"], pa.binary()),
             ], list(rows))
 
         held = 0
@@ -105,7 +102,7 @@ def chunked(docs: DataFrame, split: Split, id_col: str, text_col: str, group_col
         for key in list(open_chunks):
             yield closed([key])
 
-    schema = f"chunk bigint, grp string, ids array<{kind}>, lens array<int>, n_words int, words array<string>, counts array<bigint>, packed binary, codes binary"
+    schema = f"chunk bigint, grp string, ids array<{kind}>, lens array<int>, total bigint, packed binary, codes binary"
     return docs.select(F.col(id_col).alias("id"), group.alias("grp"), F.col(text_col).cast("string").alias("text")).mapInArrow(cut, schema)
 
 
@@ -113,21 +110,21 @@ def _kind(words: int) -> str:
     return "<u2" if words < 1 << 16 else "<i4"
 
 
-def _small(data: bytes) -> bytes:
+def small(data: bytes) -> bytes:
     return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
 
 
-def _large(data: bytes) -> bytes:
+def large(data: bytes) -> bytes:
     return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
 
 
 def words_of(packed: bytes) -> list[bytes]:
-    data = _large(packed)
+    data = large(packed)
     return data.split(b" ") if data else []
 
 
 def codes_of(codes: bytes, n_words: int) -> np.ndarray:
-    return np.frombuffer(_large(codes), _kind(n_words)).astype(np.int32)
+    return np.frombuffer(large(codes), _kind(n_words)).astype(np.int32)
 
 
 def _arrow(kind: str) -> pa.DataType:

@@ -5,7 +5,8 @@ blanks and tabs.  Everything is counted by language.  A phrase of ``least`` occu
 scored at each cut by floor(scale * a * n / (l * r)); its lowest cut counts.  Phrases inside a longer phrase
 that is as frequent (``absorb`` percent of it) are left out; the best ``top`` of each language are returned.
 
-*Keys.*  A word of at least ``least`` occurrences gets a number in its language; a phrase is the packed
+*Keys.*  A word of at least ``least`` occurrences gets a number in its language (words are counted by shards of their
+hash, which number their frequent ones); a phrase is the packed
 numbers of its words, in two or more lanes of 64 bits.  A Feistel network, a bijection of exactly those bits,
 spreads the keys.  The leading bits name the shard, the next ones the quotient, and the remainder is kept in full,
 so the phrase can be had back: counts are exact.
@@ -18,12 +19,12 @@ filter per shard; the filters of a shard are merged, and what reaches ``least``
 so a chunk goes on with the runs of text made of frequent phrases alone.  That drops no phrase, and
 only the first level sends most of the text.
 
-*At scale.*  No vocabulary is broadcast: word numbers come to a chunk by a join on the chunk's distinct words.
+*At scale.*  No vocabulary is broadcast: a chunk is told the numbers of its own words by the shards it sent them to.
 Shards hold about a million keys of one language; a phrase that is everywhere costs each chunk one key, so hot
 languages and hot phrases are spread.  Products are decimals of 38 digits.
 
 Cases: a null language is ``und``; a null or empty text has no words; repeated rows count; ids are not read; an empty
-table, or one without a frequent phrase, gives an empty result.  More than 2**31 frequent words in a language are an error.
+table, or one without a frequent phrase, gives an empty result.  Word numbers beyond 31 bits are an error.
 """
 
 from __future__ import annotations
@@ -32,14 +33,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from forecourt.llm.chunks import BREAK, SKIP, answered, by_shard, chunked, codes_of, mix, unpacked
-from forecourt.llm.common import Staged, rank_in_groups, staged
+from forecourt.llm.chunks import BREAK, SKIP, answered, by_shard, chunked, codes_of, large, mix, small, unpacked, words_of
+from forecourt.llm.common import Staged, staged
 
 SHARD_KEYS = 1 << 20
+#: Bytes of text in a chunk: larger ones send a phrase less often.
+CHUNK_BYTES = 1 << 23
 ROUNDS = 4
 _UPPER, _ENDS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b".,;:!?\x0b\x0c\x0d"
 _TABLE = bytes.maketrans(_UPPER + _ENDS + b"\t", _UPPER.lower() + b"\n" * len(_ENDS) + b" ")
@@ -166,7 +170,7 @@ def _unpack(data: bytes, shard: int, bits: list[int], shard_bits: int) -> tuple[
 
 def _level(codes: bytes, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word numbers, starts of k words without a break, those words)"""
-    ids = np.frombuffer(codes, "<i4")
+    ids = np.frombuffer(large(codes), "<i4")
     if len(ids) < k:
         return ids, np.zeros(0, np.int64), np.zeros((0, k), np.int32)
     windows = np.lib.stride_tricks.sliding_window_view(ids, k)
@@ -247,7 +251,7 @@ def _narrowed(texts: DataFrame, answers: DataFrame, k: int) -> DataFrame:
             out[np.cumsum(lens)[last] - 1] = BREAK
             yield pa.RecordBatch.from_arrays([
                 pa.array([row["chunk"]], pa.int64()), pa.array([row["grp"]], pa.string()), pa.array([row["width"]], pa.int32()),
-                pa.array([row["shard_bits"]], pa.int32()), pa.array([out.tobytes()], pa.binary()),
+                pa.array([row["shard_bits"]], pa.int32()), pa.array([small(out.tobytes())], pa.binary()),
             ], ["chunk", "grp", "width", "shard_bits", "codes"])
 
     return texts.join(answers, F.col("chunk") == F.col("to_chunk")).drop("to_chunk").mapInArrow(runs, _TEXTS)
@@ -256,47 +260,93 @@ def _narrowed(texts: DataFrame, answers: DataFrame, k: int) -> DataFrame:
 _TEXTS = "chunk bigint, grp string, width int, shard_bits int, codes binary"
 
 
-def _numbered(chunks: DataFrame, vocabulary: DataFrame, langs: DataFrame) -> DataFrame:
+def _sharded(words: list[bytes], bits: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order of words by hash, and the shards' slices of it."""
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+    order = np.argsort(hashes, kind="stable")
+    return order, by_shard(hashes[order], bits)
+
+
+def _counted_words(chunks: DataFrame) -> DataFrame:
+    """Each chunk's words and their occurrences, by shard of the word's hash."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            words = words_of(row["packed"])
+            counts = np.bincount(codes_of(row["codes"], len(words)), minlength=len(words) + 1)[1:]
+            order, slices = _sharded(words, row["shard_bits"])
+            yield pa.RecordBatch.from_arrays([
+                pa.array([row["grp"]] * len(slices), pa.string()), pa.array([row["shard_bits"]] * len(slices), pa.int32()),
+                pa.array([s for s, _, _ in slices], pa.int32()), pa.array([row["chunk"]] * len(slices), pa.int64()),
+                pa.array([small(b" ".join([words[i] for i in order[a:b]])) for _, a, b in slices], pa.binary()),
+                pa.array([counts[order[a:b]].astype("<i8").tobytes() for _, a, b in slices], pa.binary()),
+            ], ["grp", "shard_bits", "shard", "chunk", "words", "counts"])
+
+    return chunks.select("chunk", "grp", "shard_bits", "packed", "codes").mapInArrow(
+        count, "grp string, shard_bits int, shard int, chunk bigint, words binary, counts binary")
+
+
+def _merged_words(counted: DataFrame, least: int) -> DataFrame:
+    """Frequent words ``(grp, id, word, f)``, and for each chunk ``(chunk, shard, bits)``: the numbers of its words, 0 for others.
+
+    A word's number is its place among its shard's, then the shard.
+    """
+
+    def merge(table: pa.Table) -> pa.Table:
+        grp, bits, shard = (table.column(c)[0].as_py() for c in ("grp", "shard_bits", "shard"))
+        lists = [words_of(x) for x in table.column("words").to_pylist()]
+        sums: dict[bytes, int] = {}
+        for words, counts in zip(lists, table.column("counts").to_pylist(), strict=True):
+            for w, n in zip(words, np.frombuffer(counts, "<i8").tolist(), strict=True):
+                sums[w] = sums.get(w, 0) + n
+        ids = {w: (i + 1 << bits) | shard for i, w in enumerate(sorted(w for w, n in sums.items() if n >= least))}
+        told = [(c, np.fromiter((ids.get(w, 0) for w in words), "<i4", len(words))) for c, words in zip(table.column("chunk").to_pylist(), lists, strict=True)]
+        told = [(c, x.tobytes()) for c, x in told if x.any()]
+        m, n = len(ids), len(told)
+        return pa.table([
+            pa.array([grp] * (m + n), pa.string()), pa.array([*ids.values(), *[None] * n], pa.int32()),
+            pa.array([*(w.decode("utf-8") for w in ids), *[None] * n], pa.string()), pa.array([*(sums[w] for w in ids), *[None] * n], pa.int64()),
+            pa.array([None] * m + [c for c, _ in told], pa.int64()), pa.array([shard] * (m + n), pa.int32()),
+            pa.array([None] * m + [b for _, b in told], pa.binary()),
+        ], ["grp", "id", "word", "f", "chunk", "shard", "bits"])
+
+    return counted.groupBy("grp", "shard").applyInArrow(merge, "grp string, id int, word string, f bigint, chunk bigint, shard int, bits binary")
+
+
+def _numbered(chunks: DataFrame, answers: DataFrame, widths: DataFrame) -> DataFrame:
     """The chunks' codes as numbers of frequent words; other words are breaks, one break is as good as many."""
 
     def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            number = np.zeros(row["n_words"] + 1, "<i4")
-            for x in row["known"]:
-                number[x["place"]] = x["id"]
-            ids = number[codes_of(row["codes"], row["n_words"])]
-            keep = np.r_[True, (ids[1:] != BREAK) | (ids[:-1] != BREAK)]
+            words = words_of(row["packed"])
+            order, slices = _sharded(words, row["shard_bits"])
+            told = {x["shard"]: x["bits"] for x in row["answers"]}
+            number = np.zeros(len(words) + 1, "<i4")
+            for shard, a, b in slices:
+                if shard in told:
+                    number[order[a:b] + 1] = np.frombuffer(told[shard], "<i4")
+            ids = number[codes_of(row["codes"], len(words))]
+            keep = np.r_[True, (ids[1:] != BREAK) | (ids[:-1] != BREAK)][:len(ids)]
             yield pa.RecordBatch.from_arrays([
                 pa.array([row["chunk"]], pa.int64()), pa.array([row["grp"]], pa.string()), pa.array([row["width"]], pa.int32()),
-                pa.array([row["shard_bits"]], pa.int32()), pa.array([ids[keep].tobytes()], pa.binary()),
+                pa.array([row["shard_bits"]], pa.int32()), pa.array([small(ids[keep].tobytes())], pa.binary()),
             ], ["chunk", "grp", "width", "shard_bits", "codes"])
 
-    words = chunks.select("chunk", "grp", F.posexplode("words").alias("place", "word"))
-    known = (
-        words.join(vocabulary.select("grp", "word", "id"), ["grp", "word"])
-        .groupBy(F.col("chunk").alias("to_chunk")).agg(F.collect_list(F.struct((F.col("place") + 1).alias("place"), "id")).alias("known"))
-    )
-    texts = chunks.select("chunk", "grp", "n_words", "codes").join(known, F.col("chunk") == F.col("to_chunk"))
-    return texts.join(langs.select("grp", "width", "shard_bits"), "grp").drop("to_chunk").mapInArrow(renumber, _TEXTS)
+    texts = chunks.select("chunk", "grp", "shard_bits", "packed", "codes").join(answers, F.col("chunk") == F.col("to_chunk"))
+    return texts.join(widths, "grp").drop("to_chunk").mapInArrow(renumber, _TEXTS)
 
 
 def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(grp, gram, f)`` of every phrase of 1 to ``longest`` words that occurs ``least`` times or more,
     the words ``(grp, id, word)`` that grams are numbers of, and all word occurrences ``(grp, n)``."""
     named = docs.select(F.col(text_col).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.lit(None).cast("int").alias("id"))
-    raw = Staged(chunked(named, split, "id", "text", "lang", {b"\n": BREAK, b"": SKIP}, counted=True).drop("packed"), "chunks", compression="zstd")
-    chunks = raw.df
-    words = staged(chunks.select("grp", F.inline(F.arrays_zip("words", "counts"))).groupBy("grp", F.col("words").alias("word")).agg(F.sum("counts").alias("f")), "words")
-    vocabulary = staged(
-        rank_in_groups(words.filter(F.col("f") >= least), ["grp"], [F.xxhash64("word"), F.col("word")], "id")
-        .select("grp", "word", "f", F.expr("cast(id + 1 as int)").alias("id")), "vocabulary",
-    )
-    of_lang = words.groupBy("grp").agg(F.sum("f").alias("n")).join(vocabulary.groupBy("grp").agg(F.max("id").alias("most")), "grp", "left")
-    langs = staged(of_lang.select(
-        "grp", "n", F.greatest(F.lit(1), F.length(F.bin(F.coalesce("most", F.lit(0))))).alias("width"),
-        F.length(F.bin(F.expr(f"n div {SHARD_KEYS}"))).alias("shard_bits"),
-    ), "langs")
-    texts = Staged(_numbered(chunks, vocabulary, langs), "texts", compression="zstd")
+    raw = Staged(chunked(named, split, "id", "text", "lang", {b"\n": BREAK, b"": SKIP}, CHUNK_BYTES), "chunks", compression="zstd")
+    langs = staged(raw.df.groupBy("grp").agg(F.sum("total").alias("n")).filter("n > 0"), "langs")
+    chunks = raw.df.join(langs.select("grp", F.length(F.bin(F.expr(f"n div {SHARD_KEYS}"))).alias("shard_bits")), "grp")
+    counted = staged(_merged_words(_counted_words(chunks), least), "words")
+    vocabulary = counted.filter("word is not null").select("grp", "id", "word", "f")
+    widths = vocabulary.groupBy("grp").agg(F.length(F.bin(F.max("id"))).alias("width"))
+    texts = Staged(_numbered(chunks, answered(counted.filter("chunk is not null")), widths), "texts", compression="zstd")
     raw.drop()
     phrases = vocabulary.select("grp", F.array("id").alias("gram"), "f")
     for k in range(2, longest + 1):
