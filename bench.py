@@ -21,7 +21,7 @@ from forecourt.session import build_session  # noqa: E402
 HEADLINE = [
     "lm_fit_set", "lm_fit", "hot_deals", "best_deals", "price_quantiles",
     "frontier_new_links", "crawl_new_links", "harvest_batch", "parse_backlog", "parse_batch",
-    "match_make", "fuzzy_match", "parse_listings",
+    "match_make", "match_make_unique", "fuzzy_match", "parse_listings",
 ]
 SINGLE_RUN = {"parse_listings"}
 

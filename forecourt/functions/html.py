@@ -5,8 +5,8 @@ into the value.  Kept in separate projections the page is
 searched once per field; composed, they serve a single field.
 
 Elements are found by tag plus class or id, whatever the order, quoting and spacing of
-their attributes.  An element may hold others of its own kind, to any depth.  Scripts and styles
-are only searched for scripts.
+their attributes.  An element may hold others of its own kind, ``NESTING`` deep in the patterns, which
+fields are read with; ``elements_of_any_depth`` has no limit.  Scripts and styles are only searched for scripts.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from forecourt.functions.text import decode_entities, number, strip_ws
 
 
-#: Elements inside others of their kind that a pattern takes; what is deeper is found by a scan of the tags.
-SHALLOW = 3
+#: How deep elements of one kind nest in the patterns of ``first_element`` and ``all_elements``.
+NESTING = 64
 # Inside a tag: quoted values may contain ">".
 _INSIDE = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
 
@@ -66,22 +66,24 @@ def first_element(html: Column, tag: str, *conditions: str) -> Column:
 
     The mark, the end of the opening tag, tells an empty element from an absent one.
     """
-    return _bound(
-        F.regexp_extract(html, _plain_element(tag, *conditions), 1),
-        lambda found: F.when(
-            found.endswith("<"), F.coalesce(F.try_element_at(_nested_elements(html, tag, *conditions), F.lit(1)), F.lit(""))
-        ).otherwise(_closed(found)),
-    )
+    return F.regexp_extract(html, _element(tag, *conditions), 1)
 
 
 def all_elements(html: Column, tag: str, *conditions: str) -> Column:
     """What each such element holds, in page order; elements inside another of them are part of that one."""
-    return _bound(
-        F.regexp_extract_all(html, F.lit(_plain_element(tag, *conditions)), F.lit(1)),
-        lambda found: F.when(
-            F.exists(found, lambda e: e.endswith("<")), _nested_elements(html, tag, *conditions)
-        ).otherwise(F.transform(found, _closed)),
-    )
+    return F.regexp_extract_all(html, F.lit(_element(tag, *conditions)), F.lit(1))
+
+
+def _element(tag: str, *conditions: str) -> str:
+    # Up to the closing tag or the end of the page, in possessive runs: the matcher moves
+    # from "<" to "<" without backtracking, so long contents cost neither time nor stack.
+    # Elements of the same kind inside are taken whole, with their closing tags.
+    head = opening_tag(tag, *conditions).removesuffix(">")
+    inner = rf"[^<]*+(?:<(?!/(?i:{tag})\s*>)[^<]*+)*+"
+    plain = rf"[^<]*+(?:<(?!(?i:{tag})[\s>]|/(?i:{tag})\s*>)[^<]*+)*+"
+    for _ in range(NESTING):
+        inner = rf"{plain}(?:<(?i:{tag})(?=[\s>]){_INSIDE}>{inner}(?:</(?i:{tag})\s*>)?+{plain})*+"
+    return rf"{head}(>{inner})"
 
 
 def _bound(value: Column, use) -> Column:
@@ -89,30 +91,11 @@ def _bound(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _closed(found: Column) -> Column:
-    return F.when(found.endswith("</"), found.substr(F.lit(1), F.length(found) - 2)).otherwise(found)
-
-
-def _plain_element(tag: str, *conditions: str) -> str:
-    """An element with others of its kind inside up to ``SHALLOW`` deep, and the first signs of the tag after that:
-    ``</`` where the element ends, ``<`` where it holds more than this pattern can tell; nothing at the end of the page.
-
-    The contents are possessive runs: the matcher moves from "<" to "<" without backtracking, so long ones
-    cost neither time nor stack.
-    """
-    head = opening_tag(tag, *conditions).removesuffix(">")
-    plain = rf"[^<]*+(?:<(?!(?i:{tag})[\s>]|/(?i:{tag})\s*>)[^<]*+)*+"
-    inner = plain
-    for _ in range(SHALLOW):
-        inner = rf"{plain}(?:<(?i:{tag})(?=[\s>]){_INSIDE}>{inner}</(?i:{tag})\s*>{plain})*+"
-    return rf"{head}(>{inner}(?:</?)?)"
-
-
-def _nested_elements(html: Column, tag: str, *conditions: str) -> Column:
-    """``all_elements`` whatever is inside: one scan of the tags of this kind with a running depth.
+def elements_of_any_depth(html: Column, tag: str, *conditions: str) -> Column:
+    """``all_elements`` without a limit to the nesting: one scan of the tags of this kind with a running depth.
 
     The page is cut at those tags.  An element lasts until the depth falls below the one its opening tag
-    led to, or to the end of the page.
+    led to, or to the end of the page.  Some ten times the cost of the pattern.
     """
     kind = rf"<(?i:{tag})(?=[\s>]){_INSIDE}>|</(?i:{tag})\s*>"
     opens = f"^{opening_tag(tag, *conditions)}"

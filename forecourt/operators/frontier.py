@@ -55,9 +55,9 @@ def site_directory(directory_pages: DataFrame) -> DataFrame:
 
     In: ``page_no, html``.  If a location is listed repeatedly, the last one holds.
     """
-    block = H.first_element(
-        H.strip_scripts(H.strip_comments(F.col("html"))), "div", H.by_class(SITE_LIST_CLASS)
-    )
+    page = H.strip_scripts(H.strip_comments(F.col("html")))
+    found = H.elements_of_any_depth(page, "div", H.by_class(SITE_LIST_CLASS))
+    block = F.coalesce(F.try_element_at(found, F.lit(1)), F.lit(""))
     anchors = directory_pages.select(
         "page_no", F.posexplode(hrefs(block)).alias("pos", "url")
     )

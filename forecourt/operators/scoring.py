@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt.functions.pricing import predicted_price
@@ -82,3 +82,13 @@ def best_deals(scored: DataFrame) -> DataFrame:
             "discount_pct": F.try_divide(discount, F.col("predicted_price")),
         }
     )
+
+
+def best_deals_per_model(scored: DataFrame, k: int = 5) -> DataFrame:
+    """The ``k`` best deals of each make and model by discount, with ``rank`` 1 to k; equal ones by URL.
+
+    Every task keeps its own k best of a model before anything is shuffled, so what meets in one task is k rows
+    for each task, however many listings the model has.
+    """
+    best = Window.partitionBy("make", "model").orderBy(F.desc("discount"), "url")
+    return best_deals(scored).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

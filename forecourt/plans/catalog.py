@@ -378,9 +378,11 @@ def parse_flags(spark, sf_dir):
 FROM listings"""
     )
 )
+@storing
 def parse_listings(spark, sf_dir):
+    """Each page read once: its fields are stored, and met by the makes and models found in them."""
     raw = sample.raw_pages(spark, sf_dir)
-    return extract.parse_listings(raw, sample.dictionary(spark, sf_dir), AS_OF)
+    return extract.parse_stored(raw, sample.dictionary(spark, sf_dir), AS_OF, runs.scratch_table(spark, "parse"))
 
 
 _SPARSE = """SELECT url, condition, CASE WHEN l_orderkey % 7 = 0 THEN 'unlisted vehicle'
@@ -1017,6 +1019,17 @@ def best_deals(spark, sf_dir):
     )
 
 
+@query(
+    _with(
+        """SELECT make, model, rank, url FROM (SELECT *, row_number() OVER (PARTITION BY make, model
+  ORDER BY predicted_price - price DESC, url) AS rank FROM scored WHERE predicted_price > price) WHERE rank <= 3""",
+        **_score_ctes(MIN_GROUP),
+    )
+)
+def best_deals_per_model(spark, sf_dir):
+    return scoring.best_deals_per_model(_hot_deals(spark, sf_dir), 3).select("make", "model", "rank", "url")
+
+
 # --- stored tables --------------------------------------------------------------------------
 
 

@@ -157,10 +157,13 @@ def test_elements_of_any_depth(spark):
     cases += [(f'<p><div class="k">{deep}</div>after', [deep]), (f'<div class="k">{deep}', [deep]), ("</div></div><div class=k>a<div>b</div>c</div>", ["a<div>b</div>c"]),
               ('<div class="k">a<div class="k">b</div></div><div class="k"></div>', ['a<div class="k">b</div>', ""]), ("<div class=k>a<div>b</div>c", ["a<div>b</div>c"])]
     df = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(cases)], "i int, page string")
-    got = df.select("i", H.all_elements(F.col("page"), "div", H.by_class("k")).alias("every"), H.first_element(F.col("page"), "div", H.by_class("k")).alias("first")).collect()
+    spec = (F.col("page"), "div", H.by_class("k"))
+    got = df.select("i", H.elements_of_any_depth(*spec).alias("any"), H.all_elements(*spec).alias("every"), H.first_element(*spec).alias("first")).collect()
     for r in got:
-        want = [">" + x for x in cases[r.i][1]]
-        assert (r.every, r.first) == (want, want[0] if want else ""), cases[r.i][0]
+        page, want = cases[r.i][0], [">" + x for x in cases[r.i][1]]
+        assert r.any == want, page
+        if page.lower().count("<div") < H.NESTING:
+            assert (r.every, r.first) == (want, want[0] if want else ""), page
     assert df.filter("page is null").count() == 0
-    null = spark.range(1).select(F.lit(None).cast("string").alias("page")).select(H.all_elements(F.col("page"), "div"), H.first_element(F.col("page"), "div")).first()
-    assert tuple(null) == (None, None)
+    null = spark.range(1).select(F.lit(None).cast("string").alias("page"))
+    assert tuple(null.select(H.elements_of_any_depth(F.col("page"), "div"), H.all_elements(F.col("page"), "div"), H.first_element(F.col("page"), "div")).first()) == (None, None, None)

@@ -56,6 +56,18 @@ def test_parse_round_trip_and_plan(spark, sf_dir, tmp_path):
     assert "Python" not in full and "NestedLoop" not in full and "Cartesian" not in full
 
 
+def test_stored_parse_equals_the_lazy_one(spark, sf_dir, tmp_path):
+    sample.raw_pages(spark, sf_dir).limit(300).write.parquet(str(tmp_path / "raw"))
+    raw, words = read_table(spark, str(tmp_path / "raw")), sample.dictionary(spark, sf_dir)
+    stored = extract.parse_stored(raw, words, sample.AS_OF, str(tmp_path / "scratch"))
+    lazy = extract.parse_listings(raw, words, sample.AS_OF)
+    assert stored.exceptAll(lazy).count() == 0 and lazy.exceptAll(stored).count() == 0
+    plan = plan_of(stored)
+    # Pages are not read again, and the stored rows stay where they are: only what was found moves.
+    assert str(tmp_path / "raw") not in plan and "Python" not in plan
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_backlog_is_joined_before_pages_are_read(spark, sf_dir, tmp_path):
     sample.raw_pages(spark, sf_dir).write.parquet(str(tmp_path / "raw"))
     raw = read_table(spark, str(tmp_path / "raw"))
