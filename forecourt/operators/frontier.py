@@ -8,6 +8,7 @@ owns a large share of the rows from landing in one task.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +51,14 @@ def listing_links(
     )
 
 
+def stored_links(result_pages: DataFrame, scratch: str, css_class: str | None = LISTING_LINK_CLASS) -> DataFrame:
+    """``listing_links`` written once under ``scratch``, a shared folder, so that pages are searched once."""
+    links = listing_links(result_pages, css_class)
+    folder = f"{scratch.rstrip('/')}/links-{uuid.uuid4().hex}"
+    links.write.parquet(folder)
+    return result_pages.sparkSession.read.schema(links.schema).parquet(folder)
+
+
 def site_directory(directory_pages: DataFrame) -> DataFrame:
     """Sites listed in the directory block: ``location, url``.
 
@@ -73,7 +82,7 @@ def crawl_new_links(result_pages: DataFrame, links: DataFrame | None = None) ->
 
     A site's pages are read in ``page_no`` order up to the first that has no link, or only
     links seen on its earlier pages.  Out: ``location, page_no, pos, url`` of pages read.
-    ``links`` passes in links already extracted.
+    ``links`` passes in links already extracted (``stored_links``): the pages are then only asked for their numbers.
     """
     if links is None:
         links = listing_links(result_pages)

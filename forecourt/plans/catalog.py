@@ -127,8 +127,11 @@ FROM links""",
 HAVING NOT bool_or(fresh)""",
     )
 )
+@storing
 def crawl_new_links(spark, sf_dir):
-    return frontier.crawl_new_links(sample.result_pages(spark, sf_dir))
+    """Links stored once, then crawled."""
+    pages = sample.result_pages(spark, sf_dir)
+    return frontier.crawl_new_links(pages, frontier.stored_links(pages, runs.scratch_table(spark, "crawl")))
 
 
 @query(_with(_RECENT, frontier=_FRONTIER, raw=_RAW))

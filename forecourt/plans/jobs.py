@@ -28,6 +28,7 @@ from forecourt.operators.frontier import (
     parse_backlog,
     parse_batch,
     recent_urls,
+    stored_links,
 )
 from forecourt.operators.regression import fit_models
 from forecourt.operators.scoring import hot_deals
@@ -78,15 +79,20 @@ def _told(written: Written, what: str) -> str:
 def update_frontier(
     spark: SparkSession, result_pages: DataFrame, raw: str, frontier: str, as_of,
     log: str | None = None, host: str = "", bucket_by: tuple[str, int] | None = None, run: str | None = None,
+    scratch: str | None = None,
 ) -> int:
-    """Queue links of crawled result pages that were not seen lately."""
+    """Queue links of crawled result pages that were not seen lately.
+
+    ``scratch`` names a shared folder for the links, so that each page is searched once.
+    """
     started = _now()
     seen = recent_urls(
         _read(spark, raw, RAW_PAGES).select("url", "datetime_pulled"),
         _read(spark, frontier, FRONTIER).select("url"),
         as_of,
     )
-    fresh = new_links(crawl_new_links(result_pages), seen, as_of)
+    links = stored_links(result_pages, scratch) if scratch else None
+    fresh = new_links(crawl_new_links(result_pages, links), seen, as_of)
     written = _append(fresh, frontier, FRONTIER, run, bucket_by=bucket_by)
     _logged(spark, log, "update_frontier", started, _told(written, "new URLs queued"), host)
     return written.rows

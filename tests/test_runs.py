@@ -130,7 +130,7 @@ def test_jobs_repeated_under_one_name(spark, as_of, tmp_path):
     append_table(spark.createDataFrame([], RAW_PAGES), t["raw"])
     append_table(spark.createDataFrame([], FRONTIER), t["frontier"])
     for _ in range(2):
-        assert jobs.update_frontier(spark, results, t["raw"], t["frontier"], as_of, run="d1") == 40
+        assert jobs.update_frontier(spark, results, t["raw"], t["frontier"], as_of, run="d1", scratch=t["scratch"]) == 40
     fetched = pages.select("url", "raw_html")
     for _ in range(2):
         assert jobs.harvest_pages(spark, fetched, t["frontier"], t["raw"], as_of, limit=25, run="d1") == 25
