@@ -58,4 +58,4 @@ def test_stages_against_brute_force(spark, sf_dir):
 def test_wiring():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "simhash_near_dedup", "benchmark_decontamination", "mixing", "sharding"]
     assert set(QUERIES) < set(contract.queries()) and set(ORACLES) <= set(QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and "pipeline" in contract.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and "pipeline" in contract.queries()
