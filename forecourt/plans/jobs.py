@@ -11,6 +11,7 @@ what it did the first time.  Tables written so are read so, whoever reads them.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ from forecourt.operators.scoring import hot_deals
 from forecourt.operators.training import fit_set
 from forecourt.schemas import FRONTIER, HOT_DEALS, LISTINGS, MODELS, RAW_PAGES
 from forecourt.session import days, instant
-from forecourt.sources.runs import Written, append_run, drop_old, read_runs, replace_runs, since_day, snapshot
+from forecourt.sources.runs import Written, append_run, drop_folder, drop_old, read_runs, replace_runs, since_day, snapshot
 from forecourt.sources.tables import append_table, conform, log_run, overwrite_table, read_table
 
 __all__ = [
@@ -71,6 +72,11 @@ def _append(
     return append_run(df, table, run, schema, day, counts)
 
 
+def _own_folder(scratch: str | None) -> str | None:
+    """A folder of this run of a job below the caller's; the job removes it when its rows are written."""
+    return scratch and f"{scratch.rstrip('/')}/job-{uuid.uuid4().hex}"
+
+
 def _told(written: Written, what: str) -> str:
     counts = "".join(f", {k}={v}" for k, v in sorted(written.counts.items()))
     return f"{written.rows} {what}{counts}{' (repeated)' if written.repeated else ''}"
@@ -91,9 +97,12 @@ def update_frontier(
         _read(spark, frontier, FRONTIER).select("url"),
         as_of,
     )
-    links = stored_links(result_pages, scratch) if scratch else None
+    own = _own_folder(scratch)
+    links = stored_links(result_pages, own) if own else None
     fresh = new_links(crawl_new_links(result_pages, links), seen, as_of)
     written = _append(fresh, frontier, FRONTIER, run, bucket_by=bucket_by)
+    if own:
+        drop_folder(spark, own)
     _logged(spark, log, "update_frontier", started, _told(written, "new URLs queued"), host)
     return written.rows
 
@@ -158,11 +167,11 @@ def parse_pages(
     known = _read(spark, listings, LISTINGS).select("url", "needs_basic_parsing", "basic_processed_time")
     backlog = parse_backlog(pages.select("url"), known)
     chosen = latest_pulls(pages_to_parse(pages, parse_batch(backlog, limit)))
-    if scratch is None:
-        rows = parse_listings(chosen, dictionary, as_of)
-    else:
-        rows = parse_stored(chosen, dictionary, as_of, scratch)
+    own = _own_folder(scratch)
+    rows = parse_stored(chosen, dictionary, as_of, own) if own else parse_listings(chosen, dictionary, as_of)
     written = _append(rows, listings, LISTINGS, run, "time_posted", lacking(), bucket_by)
+    if own:
+        drop_folder(spark, own)
     _logged(spark, log, "parse_pages", started, _told(written, "listings written"), host)
     return written.rows
 

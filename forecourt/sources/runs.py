@@ -75,6 +75,11 @@ def scratch_table(spark: SparkSession, name: str) -> str:
     return path
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    at, fs = _fs(spark, path)
+    fs.delete(at, True)
+
+
 def _fs(spark: SparkSession, path: str):
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return found, found.getFileSystem(spark._jsc.hadoopConfiguration())

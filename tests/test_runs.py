@@ -142,6 +142,7 @@ def test_jobs_repeated_under_one_name(spark, as_of, tmp_path):
     # The second time the backlog is empty, and the run is there already.
     for _ in range(2):
         assert jobs.parse_pages(spark, t["raw"], words, t["listings"], as_of, run="d1", log=t["log"], scratch=t["scratch"]) == 25
+    assert list((tmp_path / "scratch").iterdir()) == []
     stored = runs.read_runs(spark, t["listings"], LISTINGS)
     assert stored.count() == stored.select("url").distinct().count() == 25 and "day" in stored.columns
     notes = [r.notes for r in read_table(spark, t["log"]).orderBy("time_finished").collect()]
