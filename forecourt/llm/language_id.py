@@ -13,11 +13,13 @@ at most, and broadcasts the model, whose size is that of the vocabulary times th
 
 *Predicting.*  All of every text is scored.  Words are distinct within a task up to a bounded cache;
 new ones go through the forward algorithm together, vectorised over words of one length.  Stretches
-longer than ``LONGEST_WORD`` letters are scored in pieces of that length.  Nothing is shuffled.
+longer than ``LONGEST_WORD`` letters (unspaced text) go through it one by one: their pieces are looked up at
+all places together, the sum keeps the last ``LONGEST_PIECE`` forward values, rescaled on the way, so it
+covers all segmentations of a text of any length.  Nothing is shuffled.
 
 Cases: a null text or one without a letter is ``und`` with score 0, as is every text if no training row
 has a language; rows with a null language are not learned from but predicted; a tie goes to the language
-first in order; null and repeated ids stay; an empty table gives an empty result.  Other columns are not
+first in order; null and repeated ids stay (rows without id are drawn for learning by their text); an empty table gives an empty result.  Other columns are not
 read, and language, source and id are no input of a prediction.
 """
 
@@ -101,25 +103,69 @@ def words_of(text: str | None) -> list[bytes]:
     return text.lower().encode("utf-8", "replace").translate(TABLE).split() if text else []
 
 
-def _by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(word numbers, code points) of stretches of one length; a word starts with the boundary mark."""
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+
+
+def _by_length(words: list[bytes]) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[tuple[int, np.ndarray]]]:
+    """Words as code points, each after the boundary mark: (word numbers, a row each) of one length, and the long words one by one."""
     groups: dict[int, tuple[list[int], list[str]]] = defaultdict(lambda: ([], []))
+    long: list[tuple[int, np.ndarray]] = []
     for i, word in enumerate(words):
         text = "▁" + word.decode("utf-8", "replace")
-        for start in range(0, len(text), LONGEST_WORD):
-            part = text[start:start + LONGEST_WORD]
-            numbers, texts = groups[len(part)]
-            numbers.append(i)
-            texts.append(part)
-    for n, (numbers, texts) in groups.items():
-        codes = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32).reshape(-1, n)
-        yield np.array(numbers), codes.astype(np.uint64)
+        if len(text) > LONGEST_WORD:
+            long.append((i, _codes(text)))
+            continue
+        numbers, texts = groups[len(text)]
+        numbers.append(i)
+        texts.append(text)
+    return [(np.array(numbers), _codes("".join(texts)).reshape(-1, n)) for n, (numbers, texts) in groups.items()], long
+
+
+def _pieces_in(codes: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and numbers of the pieces anywhere in one long word, by rising end."""
+    hashes, numbers, bitmap = table
+    starts, ends, pieces = [], [], []
+    h = np.zeros(len(codes), np.uint64)
+    for n in range(1, min(LONGEST_PIECE, len(codes)) + 1):
+        h = (h[:len(codes) - n + 1] + codes[n - 1:] + np.uint64(1)) * BASE
+        rows = np.nonzero(bitmap[h >> np.uint64(44)])[0]
+        at = np.minimum(np.searchsorted(hashes, h[rows]), len(hashes) - 1)
+        real = hashes[at] == h[rows]
+        starts.append(rows[real])
+        ends.append(rows[real] + n)
+        pieces.append(numbers[at[real]])
+    order = np.argsort(np.concatenate(ends), kind="stable")
+    return np.concatenate(starts)[order], np.concatenate(ends)[order], np.concatenate(pieces)[order]
+
+
+def _log_likelihood(codes: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray], probabilities: np.ndarray) -> np.ndarray:
+    """log P(word | language) of one long word; place p's forward values stand in row p modulo the ring's height."""
+    height = LONGEST_PIECE + 1
+    starts, ends, pieces = _pieces_in(codes, table)
+    bounds = np.searchsorted(ends, np.arange(1, len(codes) + 2)).tolist()
+    rows = starts % height
+    ring = np.zeros((height, probabilities.shape[1]))
+    ring[0] = 1.0
+    scale = np.zeros(probabilities.shape[1])
+    for p in range(1, len(codes) + 1):
+        value = ring[(p - 1) % height] * UNKNOWN
+        lo, hi = bounds[p - 1], bounds[p]
+        if lo < hi:
+            value = value + (ring[rows[lo:hi]] * probabilities[pieces[lo:hi]]).sum(axis=0)
+        ring[p % height] = value
+        if p % LONGEST_PIECE == 0:
+            most = ring.max(axis=0)
+            ring /= most
+            scale += np.log(most)
+    return scale + np.log(ring[len(codes) % height])
 
 
 def log_likelihoods(words: list[bytes], table: tuple[np.ndarray, np.ndarray, np.ndarray], probabilities: np.ndarray) -> np.ndarray:
     """log P(word | language), summed over all segmentations: a row per word, a column per language."""
     out = np.zeros((len(words), probabilities.shape[1]))
-    for numbers, codes in _by_length(words):
+    short, long = _by_length(words)
+    for numbers, codes in short:
         width = codes.shape[1]
         forward = np.zeros((width + 1, len(codes), probabilities.shape[1]))
         forward[0] = 1.0
@@ -132,7 +178,9 @@ def log_likelihoods(words: list[bytes], table: tuple[np.ndarray, np.ndarray, np.
         while done < width:
             forward[done + 1] += forward[done] * UNKNOWN
             done += 1
-        np.add.at(out, numbers, np.log(forward[width]))
+        out[numbers] = np.log(forward[width])
+    for number, codes in long:
+        out[number] = _log_likelihood(codes, table, probabilities)
     return out
 
 
@@ -140,9 +188,12 @@ def piece_counts(words: dict[bytes, int], table: tuple[np.ndarray, np.ndarray, n
     """How often each piece matches anywhere in the words, which come with their frequencies."""
     total = np.zeros(n_pieces, np.int64)
     weights = np.array(list(words.values()), np.int64)
-    for numbers, codes in _by_length(list(words)):
+    short, long = _by_length(list(words))
+    for numbers, codes in short:
         for _, _, rows, pieces in _pieces_at(codes, table):
             total += np.bincount(pieces, weights[numbers[rows]], n_pieces).astype(np.int64)
+    for number, codes in long:
+        total += weights[number] * np.bincount(_pieces_in(codes, table)[2], minlength=n_pieces)
     return total
 
 
@@ -153,7 +204,8 @@ def held_out(doc_id: Column) -> Column:
 def learn(docs: DataFrame, pieces: list[str], id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
     """Languages in order, and the probability of each piece (row) in each language (column)."""
     rows = docs.filter(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull()).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(id_col), F.lit(1 << 30)).alias("draw"),
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
+        F.pmod(F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.xxhash64(id_col)), F.lit(1 << 30)).alias("draw"),
     )
     sizes = {r["lang"]: r["n"] for r in rows.filter(F.col("text").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
     if len(sizes) > MOST_LANGUAGES:

@@ -5,6 +5,8 @@ from collections import Counter, defaultdict
 import helpers as B
 import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from forecourt.llm import common, decontamination, html_extraction, language_id, mixing, quality, sharding, simhash, suffix_dedup, token_counts, url_filter
@@ -235,12 +237,14 @@ def test_forward_sums_all_segmentations():
     p = rng.random((len(pieces), 2))
     index = {x: i for i, x in enumerate(pieces)}
     some = [w.encode() for w in "the mühle rivière zzz x \U0001f600y quiet".split()]
+    some += ["".join(random.Random(n).choices("etaoinshrdlué語", k=n)).encode() for n in (31, 32, 60, 5000)]
     for word, got in zip(some, language_id.log_likelihoods(some, table, p)):
         text = "▁" + word.decode()
-        f = [np.ones(2)]
-        for j in range(1, len(text) + 1):
-            f.append(f[j - 1] * language_id.UNKNOWN + sum((f[i] * p[index[text[i:j]]] for i in range(max(0, j - 16), j) if text[i:j] in index), np.zeros(2)))
-        assert np.allclose(np.log(f[-1]), got)
+        f = [np.zeros(2)]
+        for j in range(1, len(text) + 1):  # in logarithms
+            ways = [f[j - 1] + np.log(language_id.UNKNOWN)] + [f[i] + np.log(p[index[text[i:j]]]) for i in range(max(0, j - 16), j) if text[i:j] in index]
+            f.append(np.logaddexp.reduce(ways, axis=0))
+        assert np.allclose(f[-1], got)
 
 
 def test_language_id(spark, docs, none):
@@ -390,7 +394,7 @@ def test_names_do_not_lose_the_article(page, text):
     assert html_extraction.extract(html_extraction.tree("<body>" + page), []) == text
 
 
-def test_names_vote_only_where_the_wrapper_is_silent(spark):
+def test_names_give_way_where_no_other_text_is_left(spark):
     page = "<body><div class=box>Same</div><div class=related>Story {0}</div>{1}</body>"
     rows = [(i, f"http://n.org/{i}", page.format(i, "")) for i in range(12)] + [(12, "http://n.org/12", page.format(12, "<div class=share>tell</div>"))]
     got = {r.page_id: r.text for r in html_extraction.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)).collect()}
@@ -408,6 +412,41 @@ def test_three_pages_tell_constant_items_of_a_run_and_late_blocks(spark):
     assert got == want | {i: " ".join(f"Line {i} {k}" for k in range(90)) for i in range(30, 70)}
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<div class=menu>Item {0}</div><article><h1>T {0}</h1><p>Story {0}</p><div class=ad>Buy offer {0}</div><div class=comments>Reader {0} says hi</div></article>", "T {0} Story {0}"),
+    ("<div class=menu>Item {0}</div><div>Story {0}</div><div class=comments><p>Reader {0} says hi</div><div id=cookie>Notice {0}</div>", "Story {0}"),
+])
+@pytest.mark.parametrize("pages", [1, 2, 3, 12])
+def test_varying_boilerplate_is_left_out_on_hosts_of_any_size(page, text, pages):
+    trees = [html_extraction.tree("<body>" + page.format(i)) for i in range(pages)]
+    whole = []
+    for t in trees:
+        mine = html_extraction.skeletons(t)[id(t)]
+        whole = html_extraction._merged(whole, mine) if whole else mine
+    wrapper = html_extraction.grown(html_extraction.flat(html_extraction._decided(whole)))
+    assert [html_extraction.extract(t, wrapper) for t in trees] == [text.format(i) for i in range(pages)]
+
+
+def test_deep_and_long_pages(spark):
+    deep = "<div>" * 100_000 + "<article>Story {0}</article>"
+    long = "<body>" + "".join(f"<h2>Head {k}</h2><p>Text {k} of {{0}}</p>" for k in range(5000)) + "<h2>End</h2>"
+    rows = [(i, "http://deep.org/", deep.format(i)) for i in range(3)]
+    rows += [(10 + i, "http://long.org/", long.format(i).replace("<h2>Head 7<", f"<h3>Extra {i}</h3>" * i + "<h2>Head 7<")) for i in range(3)]
+    got = {r.page_id: r.text for r in html_extraction.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)).collect()}
+    assert [got[i] for i in range(3)] == [f"Story {i}" for i in range(3)]
+    for i in range(3):  # headings that are the same on all three pages are their template
+        assert got[10 + i].split("Text ")[-1] == f"4999 of {i}" and all(f"Text {k} of {i}" in got[10 + i] for k in range(5000))
+        assert got[10 + i].count("Head") <= 10 and got[10 + i].count("Extra") == i
+
+
+@given(st.lists(st.sampled_from("pqr"), max_size=9), st.lists(st.sampled_from("pqr"), max_size=9))
+def test_pairs_of_long_lists_are_in_order_and_of_one_label(x, y):
+    a, b = ([[t, 1, {f"{t}{i % 4}": 1}, [], 1] for i, t in enumerate(side)] for side in (x, y))
+    pairs = html_extraction._anchored(a, b)
+    assert all(x[i] == y[j] for i, j in pairs)
+    assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+
+
 def test_simple_tree_matching():
     leaf = lambda x: [x, 1, {}, []]
     a, b = [leaf("p"), ["div", 1, {}, [leaf("i"), leaf("b")]], leaf("q")], [leaf("x"), ["div", 1, {}, [leaf("b")]], leaf("q"), leaf("p")]
