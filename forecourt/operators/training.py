@@ -21,16 +21,9 @@ QUANTILE_ACCURACY = 10_000
 _REQUIRED = ["make", "model", "year", "odometer", "price", "condition"]
 
 
-def fit_filtered(
-    listings: DataFrame, as_of: dt.datetime | str, lookback_days: int = 180
-) -> DataFrame:
-    """Recent listings with nothing important missing, predictors derived.
-
-    Of a table laid out by day only the files of the window are read.
-    """
-    posted = listings.schema["time_posted"].dataType
-    since = instant(as_of, posted) - days(lookback_days)
-    keep = (F.col("time_posted") >= since) & since_day(listings, since)
+def complete_listings(listings: DataFrame) -> DataFrame:
+    """Listings with nothing important missing, predictors derived."""
+    keep = F.lit(True)
     for column in _REQUIRED:
         keep = keep & F.col(column).isNotNull()
     return listings.filter(keep).select(
@@ -44,6 +37,18 @@ def fit_filtered(
     )
 
 
+def fit_filtered(
+    listings: DataFrame, as_of: dt.datetime | str, lookback_days: int = 180
+) -> DataFrame:
+    """Recent listings with nothing important missing, predictors derived.
+
+    Of a table laid out by day only the files of the window are read.
+    """
+    posted = listings.schema["time_posted"].dataType
+    since = instant(as_of, posted) - days(lookback_days)
+    return complete_listings(listings.filter((F.col("time_posted") >= since) & since_day(listings, since)))
+
+
 def valid_make_models(filtered: DataFrame, min_group: int = 100) -> DataFrame:
     """Makes and models with enough listings to fit."""
     return (

@@ -14,9 +14,9 @@ from forecourt.functions import html as H
 from forecourt.functions.pricing import condition_flag, predicted_price
 from forecourt.functions.text import correct_make, correct_model
 from forecourt.functions.urls import location_from_url, post_id
-from forecourt.operators import extract, frontier, fuzzy, regression, scoring, standardize, training
+from forecourt.operators import extract, frontier, fuzzy, regression, scoring, standardize, summaries, training
 
-from forecourt.schemas import FRONTIER, LISTINGS, MODELS, RAW_PAGES, RUN_LOG
+from forecourt.schemas import CELLS, FRONTIER, LISTINGS, MODELS, RAW_PAGES, RUN_LOG
 from forecourt.plans import jobs
 from forecourt.sources import runs, sample, tables
 
@@ -862,10 +862,12 @@ def _models(spark, sf_dir, min_group=MIN_GROUP) -> DataFrame:
     )
 )
 def lm_fit(spark, sf_dir):
+    return _rounded_models(_models(spark, sf_dir))
+
+
+def _rounded_models(models: DataFrame) -> DataFrame:
     digits = {"intercept": 0, "miles_coeff": 2, "condition_coeff": 2, "year_coeff": 2, "r_squared": 6}
-    return _models(spark, sf_dir).withColumns(
-        {name: F.round(name, places) for name, places in digits.items()}
-    )
+    return models.withColumns({name: F.round(name, places) for name, places in digits.items()})
 
 
 # Makes by number modulo 5: a single year; a single price; no good condition; no bad one; two listings.
@@ -1055,6 +1057,34 @@ def stored_fit_filtered(spark, sf_dir):
     return _rounded_fit(training.fit_filtered(stored, AS_OF))
 
 
+def _stored_cells(spark, sf_dir) -> DataFrame:
+    """Cells of listings parsed in three runs: half of them twice, the first time with twice the price and a month late."""
+    stored, cells = (runs.scratch_table(spark, name) for name in ("listings", "cells"))
+    rows = sample.listings(spark, sf_dir).withColumns({k: F.lit(None).cast(LISTINGS[k].dataType) for k in LISTINGS.names if k not in sample.LISTING_COLUMNS})
+    even = rows.filter(c("l_orderkey") % 2 == 0).withColumn("basic_processed_time", F.lit("2001-07-02").cast("timestamp"))
+    wrong = even.withColumns({
+        "price": c("price") * 2, "time_posted": c("time_posted") + F.expr("INTERVAL 30 DAYS"), "basic_processed_time": F.lit("2001-07-01").cast("timestamp"),
+    })
+    for name, part in (("wrong", wrong), ("odd", rows.filter(c("l_orderkey") % 2 == 1)), ("even", even)):
+        runs.append_run(part, stored, name, LISTINGS, "time_posted", unit="month")
+        jobs.summarise_run(spark, stored, cells, name)
+    return runs.read_runs(spark, cells, CELLS)
+
+
+@query(ORACLES["lm_fit"])
+@storing
+def stored_lm_fit(spark, sf_dir):
+    """The models from stored cells, of which half were taken back and stored anew."""
+    return _rounded_models(summaries.fit_from_cells(_stored_cells(spark, sf_dir), AS_OF, LOOKBACK, MIN_GROUP))
+
+
+@query(ORACLES["price_quantiles"])
+@storing
+def stored_price_quantiles(spark, sf_dir):
+    merged = summaries.window_cells(_stored_cells(spark, sf_dir), AS_OF, LOOKBACK)
+    return summaries.price_bounds(merged, BITING_GROUP)
+
+
 @query(_with("SELECT url, time_posted, price, odometer, year FROM recent", recent=_RECENT_LISTINGS))
 @storing
 def stored_recent_listings(spark, sf_dir):

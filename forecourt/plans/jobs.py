@@ -33,15 +33,16 @@ from forecourt.operators.frontier import (
 )
 from forecourt.operators.regression import fit_models
 from forecourt.operators.scoring import hot_deals
+from forecourt.operators.summaries import cells_of_run, fit_from_cells
 from forecourt.operators.training import fit_set
-from forecourt.schemas import FRONTIER, HOT_DEALS, LISTINGS, MODELS, RAW_PAGES
+from forecourt.schemas import CELLS, FRONTIER, HOT_DEALS, LISTINGS, MODELS, RAW_PAGES
 from forecourt.session import days, instant
 from forecourt.sources.runs import Written, append_run, drop_folder, drop_old, read_runs, replace_runs, since_day, snapshot
 from forecourt.sources.tables import append_table, conform, log_run, overwrite_table, read_table
 
 __all__ = [
-    "clean_frontier", "fit_price_models", "harvest_pages", "parse_pages", "score_deals",
-    "update_frontier",
+    "clean_frontier", "fit_price_models", "harvest_pages", "parse_pages", "refit_price_models", "score_deals",
+    "summarise_run", "update_frontier",
 ]
 
 
@@ -191,6 +192,35 @@ def fit_price_models(
     return n
 
 
+def summarise_run(spark: SparkSession, listings: str, cells: str, run: str, log: str | None = None, host: str = "") -> int:
+    """Store the cells (``operators.summaries``) of one run of the listings table, under the same name.
+
+    Listings that the run parsed again are taken out of the cells they were in.  A run that is
+    summarised already is left alone.  Runs may be summarised in any order, one at a time.
+    """
+    started = _now()
+    done = set(snapshot(spark, cells).runs)
+    now = snapshot(spark, listings)
+    if run not in now.runs:
+        raise ValueError(f"{listings} has no run {run!r}")
+    before, added = (read_runs(spark, listings, LISTINGS, at=now, runs=names) for names in (sorted(done - {run}), [run]))
+    written = append_run(cells_of_run(before, added), cells, run, CELLS, "posted", unit="month")
+    _logged(spark, log, "summarise_run", started, _told(written, "cells stored"), host)
+    return written.rows
+
+
+def refit_price_models(
+    spark: SparkSession, cells: str, models: str, as_of, log: str | None = None, host: str = "",
+    lookback_days: int = 180, **options,
+) -> int:
+    """``fit_price_models`` from stored cells: the listings are not read."""
+    started = _now()
+    stored = read_runs(spark, cells, CELLS)
+    n = overwrite_table(fit_from_cells(stored, as_of, lookback_days, **options), models, MODELS)
+    _logged(spark, log, "refit_price_models", started, f"{n} models written", host)
+    return n
+
+
 def score_deals(
     spark: SparkSession, listings: str, states: str, models: str, target: str, as_of,
     log: str | None = None, host: str = "", window_days: int = 45, **filters,

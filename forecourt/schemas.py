@@ -2,6 +2,7 @@
 
 from pyspark.sql.types import (
     BooleanType,
+    DateType,
     DoubleType,
     IntegerType,
     LongType,
@@ -55,6 +56,19 @@ LISTINGS = _struct(
     ai_processed_time=TimestampType,
 )
 
+#: Listings of one day that have all of this in common (``operators.summaries``).
+CELLS = _struct(
+    posted=DateType,
+    make=StringType,
+    model=StringType,
+    year=IntegerType,
+    price=DoubleType,
+    condition=IntegerType,
+    n=LongType,
+    mean_o=DoubleType,
+    m2_o=DoubleType,
+)
+
 MODELS = _struct(
     make=StringType,
     model=StringType,
