@@ -1,7 +1,7 @@
 """Operator 2: URL filters by hash-prefix lookup of host-suffix and path-prefix expressions.
 
-Each distinct (host, path) is expanded into expressions: every suffix of the host at a dot, joined
-with every prefix of the path whose length some rule's path has.  Expressions and rules meet in an
+Each distinct (host, path) is expanded into expressions: every suffix of the host at a dot that has no
+more labels than the longest rule host (so a host of many labels costs no more than its length), joined with every prefix of the path whose length some rule's path has.  Expressions and rules meet in an
 equi-join on the first four bytes of their SHA-256 digests; a match counts only if the full digests
 agree.  Of the rules that fit, the longest (host and path together) decides, then the one with the
 longer host, then ``block``.
@@ -9,7 +9,7 @@ longer host, then ``block``.
 The join carries digests, not texts.  Addresses are made distinct first and verdicts are joined back
 on (host, path), an ordinary join whose hot partitions Spark splits, so a host or an address with a
 third of all rows is looked up once.  The rule table may be of any size; the driver only sees the
-distinct lengths of rule paths, at most ``MAX_RULE_PATH`` numbers.
+distinct lengths of rule paths, at most ``MAX_RULE_PATH`` numbers, and the labels of the longest rule host.
 
 Cases: a null url, or one without ``://``, has an empty host and path, which no rule with a host fits;
 repeated rows and ids stay; an empty table gives an empty result; an empty rule table gives the
@@ -56,6 +56,7 @@ def verdicts(pages: DataFrame, rules: DataFrame, url_col: str = "url", default:
     lengths = sorted(r[0] for r in usable.select(F.least(F.length("r_path"), F.lit(MAX_RULE_PATH + 1))).distinct().collect())
     if lengths and lengths[-1] > MAX_RULE_PATH:
         raise ValueError(f"a rule's path is longer than {MAX_RULE_PATH}")
+    deepest = usable.agg(F.max(F.size(F.split("r_host", r"\.")))).first()[0] or 1
     book = (
         usable.groupBy("r_host", "r_path").agg(F.max("r_verdict").alias("r_verdict"))
         .withColumn("digest", _digest(F.col("r_host"), F.col("r_path")))
@@ -63,7 +64,7 @@ def verdicts(pages: DataFrame, rules: DataFrame, url_col: str = "url", default:
     )
     at = pages.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))}).drop("rule", "verdict")
     labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    suffixes = F.transform(F.sequence(F.greatest(F.lit(1), F.size(labels) - deepest + 1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.lit(deepest)), "."))
     prefixes = F.filter(F.array(*(F.lit(n) for n in lengths)).cast("array<int>"), lambda n: n <= F.length("path"))
     expressions = (
         at.select("host", "path").distinct()

@@ -102,6 +102,8 @@ def test_url_verdicts(spark):
         (7, "", "", None, "allow"), (8, "", "", None, "allow"), (9, "", "", None, "allow"), (10, "org", "", None, "allow"), (11, "x.net", "/a://b.org/", None, "allow"), (None, "c.com", "/fr", None, "allow"),
     ])
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString().replace("ExistingRDD", "")
+    many = spark.createDataFrame([(1, "http://" + "a." * 40_000 + "example.org/es/"), (2, "http://" + "a." * 40_000 + "net/es/")], "page_id long, url string")
+    assert {r.page_id: r.rule for r in url_filter.verdicts(many, rules).collect()} == {1: "example.org/es/", 2: None}
     assert url_filter.verdicts(pages.limit(0), rules).count() == 0
     assert {r.verdict for r in url_filter.verdicts(pages, rules.limit(0), default="block").collect()} == {"block"}
 
