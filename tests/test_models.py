@@ -195,7 +195,7 @@ def test_best_deals_of_each_model(spark):
     rows = [(f"u{i:03d}", m, float(i % 7), 10.0) for m in ("a", "b", None) for i in range(40)] + [("x", "c", 20.0, 10.0), ("y", "c", 9.0, None)]
     scored = spark.createDataFrame(rows, "url string, model string, price double, predicted_price double").withColumn("make", F.lit("m"))
     got = scoring.best_deals_per_model(scored.repartition(3), 2)
+    plan = plan_of(got)  # before it runs: afterwards the plan is shown twice, as planned and as run
     assert sorted((str(r.model), r.rank, r.url) for r in got.collect()) == [(m, k, u) for m in ("None", "a", "b") for k, u in ((1, "u000"), (2, "u007"))]
-    plan = plan_of(got)
     # The limit comes before the shuffle too.
     assert plan.count("WindowGroupLimit") == 2 and plan.rindex("WindowGroupLimit") > plan.index("Exchange")
