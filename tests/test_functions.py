@@ -167,3 +167,18 @@ def test_elements_of_any_depth(spark):
     assert df.filter("page is null").count() == 0
     null = spark.range(1).select(F.lit(None).cast("string").alias("page"))
     assert tuple(null.select(H.elements_of_any_depth(F.col("page"), "div"), H.all_elements(F.col("page"), "div"), H.first_element(F.col("page"), "div")).first()) == (None, None, None)
+
+
+def test_long_tags_are_read_without_recursion(value):
+    """Each character of a tag before its class took a frame of the stack."""
+    blank = " ".join(f"data-{n}=v" for n in range(20_000))
+    page = f'<span {blank} title="a > b" class="valu year"> 1999 </span>'
+    assert value(lambda x: H.listing_year(H.year_element(x)), page) == 1999
+
+
+def test_comments_and_scripts_in_one_pass(value):
+    page = "a<!-- 1 --><SCRIPT x>var s = '<!-- kept -->';</SCRIPT ><style>p<!-- q --></style>b<!-->c--><script>open <!-- gone -->d<!-- -- - ->"
+    bare = "a<SCRIPT x>var s = '<!-- kept -->';</SCRIPT ><style>p<!-- q --></style>b<script>open d"
+    assert value(H.strip_comments, page) == bare
+    assert value(lambda x: H.strip_scripts(H.strip_comments(x)), page) == "ab"
+    assert value(H.strip_scripts, "<scripts>x</scripts><s>y</s><script >z</script>-<style>") == "<scripts>x</scripts><s>y</s>-"
