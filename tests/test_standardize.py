@@ -170,3 +170,13 @@ def test_fuzzy_blocks_on_make(spark):
     targets = spark.createDataFrame([("ford", "f150")], "make string, target string")
     got = fuzzy.fuzzy_match(inputs, targets, block_on=["make"])
     assert [tuple(r) for r in got.collect()] == [("ford", "f150 xl", "f150")]
+
+
+def test_texts_offer_runs_of_the_entries_sizes_only(spark):
+    rows = spark.createDataFrame([("abcdefgh" * 8,)], "t string").select(standardize._anchors(F.col("t"), F.lit(3)).alias("runs"))
+    assert {len(r) for r in rows.first().runs} == {3}
+    words = spark.createDataFrame([("kx", "a", "a"), ("longer make", "b", "b")], "make string, model string, short_model string")
+    texts = spark.createDataFrame([(1, "a kx", None), (2, None, "the longer make"), (3, "k", "x"), (4, "kx", "longer make")], "url long, name string, title_text string")
+    got = {r.url: r.make for r in standardize.match_make(texts, words).collect()}
+    assert got == {1: "kx", 2: "longer make", 3: None, 4: "kx"}
+    assert {r.make for r in standardize.match_make(texts, words.filter("make = ''")).collect()} == {None}
