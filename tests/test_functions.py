@@ -182,3 +182,23 @@ def test_comments_and_scripts_in_one_pass(value):
     assert value(H.strip_comments, page) == bare
     assert value(lambda x: H.strip_scripts(H.strip_comments(x)), page) == "ab"
     assert value(H.strip_scripts, "<scripts>x</scripts><s>y</s><script >z</script>-<style>") == "<scripts>x</scripts><s>y</s>-"
+
+
+def test_references_are_decoded_without_compiling_patterns_by_row(spark):
+    texts = [
+        "a &ndash; b", "&&copy;&copy x", "&copyright &#x41;&#65;&#0;&#xD800;", "&nosuch; & &;", "&amp;lt; &ndash;", "&#150 &#8211;\n&hellip;", "&", "", None,
+    ]
+    expected = [
+        "a – b", "&©© x", "©right AA&#0;&#xD800;", "&nosuch; & &;", "&lt; –", "– –\n…", "&", "", None,
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    decoded = rows.select("i", T.decode_entities(F.col("x")).alias("y"))
+    assert [r["y"] for r in decoded.orderBy("i").collect()] == expected
+    assert "split(" not in decoded._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_every_name_of_html_is_found_in_its_bucket(spark):
+    names = sorted(n for n in T.html5 if n.endswith(";"))
+    rows = spark.createDataFrame([(n,) for n in names], "n string")
+    found = rows.select("n", T.decode_entities(F.concat(F.lit("&"), "n")).alias("y")).collect()
+    assert {r["n"]: r["y"] for r in found} == {n: T.html5[n] for n in names}
