@@ -12,8 +12,8 @@ Pages of a host with one tree (tags, names and texts) are copies and count once,
 make its article a template: tasks leave out their own copies, a shuffle by host and tree hash the others.
 Each task then folds its pages of a host, the partial wrappers of a host are folded by groups of tasks and then
 one after another as they stream by, so a host with a third of all pages is a few small trees by then, and no group is held.
-Lists of children with over ``TABLE`` pairs are paired by their equal ends, by texts that both have once, and in
-order between these, in linear time and memory; what is content does not depend on a list's length otherwise.
+The table of two lists of children with over ``TABLE`` pairs is worked through by rows, of which every so many are kept
+for the way back: the pairs are those of the whole table.  Weights are known by distinct subtrees, not by pairs of nodes.
 If all of a marked article is template all the same (near copies that differ elsewhere), the wrapper tells
 nothing about it and the article stays.
 
@@ -39,10 +39,11 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -56,10 +57,8 @@ TEMPLATE_SHARE, TEMPLATE_PAGES = 0.8, 3
 #: Texts that a node's summary counts for each of the items it has on a page, so that a count is at most 1/64
 #: of the node's pages too low: a text on 82% of them is found for sure.
 SUMMARY = 64
-#: Pairs of children up to which two lists are aligned by a full table.
+#: Pairs of children up to which the table that aligns two lists is held whole; the pairs found do not depend on it.
 TABLE = 1 << 16
-#: How far beyond the last pair the next one of a longer list is looked for.
-AHEAD = 64
 #: Groups of tasks whose wrappers of one host are folded before the last fold.
 SALTS = 16
 #: Pages whose copies a task leaves out before the shuffle leaves out the others.
@@ -229,70 +228,106 @@ def runs(node: Node) -> list[list[Node]]:
     return out
 
 
-def _anchored(a: list, b: list) -> list[tuple[int, int]]:
-    """Pairs of two long lists: equal labels at both ends, then items that stand once in both, then what follows in order."""
-    head, tail, short = 0, 0, min(len(a), len(b))
-    while head < short and a[head][0] == b[head][0]:
-        head += 1
-    while tail < short - head and a[-1 - tail][0] == b[-1 - tail][0]:
-        tail += 1
-    ends = len(a) - tail, len(b) - tail
-
-    def once(side: list, end: int) -> dict[tuple, int]:
-        keys = [(x[0], frozenset(x[2])) for x in side[head:end]]
-        n = Counter(keys)
-        return {k: i for i, k in enumerate(keys, head) if n[k] == 1 and k[1]}
-
-    in_b, best, at, before = once(b, ends[1]), [], [], {}
-    for k, i in once(a, ends[0]).items():  # the longest rising sequence of anchors
-        if (j := in_b.get(k)) is not None:
-            n = bisect_left(best, j)
-            best[n:n + 1], at[n:n + 1] = [j], [(i, j)]
-            before[i, j] = at[n - 1] if n else None
-    anchors, last = [ends], at[-1] if at else None
-    while last is not None:
-        anchors.append(last)
-        last = before[last]
-    pairs, i, j = [(k, k) for k in range(head)], head, head
-    for p, q in reversed(anchors):
-        for k in range(i, p):
-            near = next((m for m in range(j, min(q, j + AHEAD)) if b[m][0] == a[k][0]), None)
-            if near is not None:
-                pairs.append((k, near))
-                j = near + 1
-        if (p, q) != ends:
-            pairs.append((p, q))
-        i, j = p + 1, q + 1
-    return pairs + [(ends[0] + k, ends[1] + k) for k in range(tail)]
-
-
-def _fixed(a: list, b: list) -> list[tuple[int, int]] | None:
-    """The pairs of two lists where no table is needed: alike at this level (nothing better than all in order), or long."""
-    if len(a) == len(b) and all(x[0] == y[0] for x, y in zip(a, b, strict=True)):
-        return [(i, i) for i in range(len(a))]
-    return _anchored(a, b) if len(a) * len(b) > TABLE else None
-
-
-def _unweighed(a: list, b: list, known: dict[tuple[int, int], int]) -> list[tuple]:
-    """Pairs of nodes with something below both, whose weight an alignment of the two lists needs."""
+class Weights:
+    """Nodes paired by two subtrees, by their shapes: labels and order of all below, which is all that pairing looks at."""
+
+    def __init__(self) -> None:
+        self.of: dict[int, int] = {}  # by id of a node, which must still be held
+        self.shapes: dict[tuple, int] = {}
+        self.known: dict[tuple[int, int], int] = {}
+
+    def shape(self, node: list) -> int:
+        if (have := self.of.get(id(node))) is not None:
+            return have
+        todo = [node]
+        while todo:
+            x = todo[-1]
+            if id(x) not in self.of:
+                if below := [y for y in x[3] if id(y) not in self.of]:
+                    todo += below
+                    continue
+                key = (x[0], tuple(self.of[id(y)] for y in x[3]))
+                self.of[id(x)] = self.shapes.setdefault(key, len(self.shapes))
+            todo.pop()
+        return self.of[id(node)]
+
+    def __call__(self, x: list, y: list) -> int:
+        return self.known[self.shape(x), self.shape(y)] if x[3] and y[3] else 1
+
+
+def _alike(a: list, b: list) -> bool:
+    """Equal labels in order: no pairing is better than all in order."""
+    return len(a) == len(b) and all(x[0] == y[0] for x, y in zip(a, b, strict=True))
+
+
+def _unweighed(a: list, b: list, weights: Weights) -> list[tuple]:
+    """Pairs of nodes with something below both, one for each pair of shapes, whose weight an alignment of the two lists needs."""
     if not a or not b:
         return []
-    fixed = _fixed(a, b)
-    pairs = ((x, y) for x in a for y in b if x[0] == y[0]) if fixed is None else ((a[i], b[j]) for i, j in fixed)
-    return [(x, y) for x, y in pairs if x[3] and y[3] and (id(x), id(y)) not in known]
+    if _alike(a, b):
+        pairs = {(weights.shape(x), weights.shape(y)): (x, y) for x, y in zip(a, b, strict=True) if x[3] and y[3]}
+    else:
+        at_a, at_b = ({weights.shape(x): x for x in side if x[3]} for side in (a, b))
+        pairs = {(p, q): (x, y) for p, x in at_a.items() for q, y in at_b.items() if x[0] == y[0] and (p, q) not in weights.known}
+    return [xy for pq, xy in pairs.items() if pq not in weights.known]
+
+
+def _anchored(a: list, b: list, weights: Weights | None = None) -> list[tuple[int, int]]:
+    """The best pairing of two long lists, as by the whole table, of which rows at intervals are kept: the way back starts anew from each."""
+    weights = weights or Weights()
+    at: dict[str, list[int]] = {}
+    for j, y in enumerate(b):
+        at.setdefault(y[0], []).append(j)
+    columns = {}
+    for label, js in at.items():  # its columns, which shape each has, and a node of each shape
+        shapes = {weights.shape(b[j]): b[j] for j in js}
+        number = {p: k for k, p in enumerate(shapes)}
+        columns[label] = np.array(js), np.array([number[weights.shape(b[j])] for j in js]), list(shapes.values())
+
+    def after(x: list, row: np.ndarray) -> np.ndarray:
+        if x[0] not in columns:
+            return row
+        js, which, nodes = columns[x[0]]
+        out = row.copy()
+        out[js + 1] = np.maximum(row[js + 1], row[js] + np.array([weights(x, y) for y in nodes])[which])
+        return np.maximum.accumulate(out)
+
+    step = isqrt(len(a)) + 1
+    row, kept = np.zeros(len(b) + 1, np.int64), []
+    for i, x in enumerate(a):
+        if i % step == 0:
+            kept.append(row)
+        row = after(x, row)
+    i, j, pairs = len(a), len(b), []
+    for first in range((len(kept) - 1) * step, -1, -step):
+        rows = [kept.pop()]
+        for x in a[first:i]:
+            rows.append(after(x, rows[-1]))
+        while j and i > first:
+            now, above = rows[i - first], rows[i - first - 1]
+            if a[i - 1][0] == b[j - 1][0] and now[j] == above[j - 1] + weights(a[i - 1], b[j - 1]):
+                i, j = i - 1, j - 1
+                pairs.append((i, j))
+            elif now[j] == above[j]:
+                i -= 1
+            else:
+                j -= 1
+        i = min(i, first)
+    return pairs[::-1]
 
 
-def _aligned(a: list, b: list, known: dict[tuple[int, int], int]) -> tuple[int, list[tuple[int, int]]]:
+def _aligned(a: list, b: list, weight: Weights) -> tuple[int, list[tuple[int, int]]]:
     """The best pairing of two lists, given the weights of pairs of nodes."""
     if not a or not b:
         return 0, []
-    weight = lambda x, y: known[id(x), id(y)] if x[3] and y[3] else 1
-    fixed = _fixed(a, b)
-    if fixed is not None:
-        return sum(weight(a[i], b[j]) for i, j in fixed), fixed
+    if _alike(a, b):
+        return sum(weight(x, y) for x, y in zip(a, b, strict=True)), [(i, i) for i in range(len(a))]
     both = {x[0] for x in a} & {x[0] for x in b}  # others cannot pair
     at_a, at_b = ([i for i, x in enumerate(side) if x[0] in both] for side in (a, b))
     a, b = [a[i] for i in at_a], [b[j] for j in at_b]
+    if len(a) * len(b) > TABLE:
+        pairs = _anchored(a, b, weight)
+        return sum(weight(a[i], b[j]) for i, j in pairs), [(at_a[i], at_b[j]) for i, j in pairs]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a, 1):
         for j, y in enumerate(b, 1):
@@ -311,33 +346,34 @@ def _aligned(a: list, b: list, known: dict[tuple[int, int], int]) -> tuple[int,
     return best[-1][-1], pairs[::-1]
 
 
-def matching(a: list, b: list, known: dict[tuple[int, int], int] | None = None) -> tuple[int, list[tuple[int, int]]]:
+def matching(a: list, b: list, weights: Weights | None = None) -> tuple[int, list[tuple[int, int]]]:
     """Simple tree matching of two lists of children: nodes paired in all, and the pairs at the top.
 
-    known: weights of pairs of nodes found before (by id; the nodes must still be held), added to here.
+    weights: those found before (the nodes must still be held), added to here.
     """
-    known = {} if known is None else known
-    todo = _unweighed(a, b, known)
+    weights = weights or Weights()
+    todo = _unweighed(a, b, weights)
     while todo:
         x, y = todo[-1]
-        if (id(x), id(y)) not in known:
-            if below := _unweighed(x[3], y[3], known):
+        pair = weights.shape(x), weights.shape(y)
+        if pair not in weights.known:
+            if below := _unweighed(x[3], y[3], weights):
                 todo += below
                 continue
-            known[id(x), id(y)] = 1 + _aligned(x[3], y[3], known)[0]
+            weights.known[pair] = 1 + _aligned(x[3], y[3], weights)[0]
         todo.pop()
-    return _aligned(a, b, known)
+    return _aligned(a, b, weights)
 
 
 def _merged(a: list, b: list, same_page: int = 0) -> list:
     """Two aligned lists of wrapper children as one.  same_page: both are of one page."""
     whole: list = []
-    known: dict[tuple[int, int], int] = {}
+    weights = Weights()
     todo = [(a, b, whole)]
     while todo:
         a, b, out = todo.pop()
         i, j = 0, 0
-        for p, q in [*matching(a, b, known)[1], (len(a), len(b))]:
+        for p, q in [*matching(a, b, weights)[1], (len(a), len(b))]:
             out += a[i:p] + b[j:q]
             if p < len(a):
                 x, y = a[p], b[q]
@@ -417,7 +453,7 @@ def _article(root: Node) -> list[Node]:
 def _slots(root: Node, path: list[Node], wrapper: list, mine: dict[int, list], names: bool) -> str:
     """The text of the slots.  names: they count also where the wrapper knows the node."""
     wanted, holds = _tag(path[-1]) if path else None, {id(x) for x in path}
-    weights: dict[tuple[int, int], int] = {}
+    weights = Weights()
     blocks: list[str] = []
     open_: list[tuple] = []
 

@@ -449,6 +449,23 @@ def test_pairs_of_long_lists_are_in_order_and_of_one_label(x, y):
     assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
 
 
+def test_pairs_do_not_depend_on_the_length_of_lists(monkeypatch):
+    random_ = random.Random(7)
+
+    def nodes(n, depth):
+        return [[random_.choice("pqr"), 1, {}, nodes(random_.randrange(4), depth - 1) if depth else [], 1] for _ in range(n)]
+
+    for _ in range(300):
+        a, b = nodes(random_.randrange(12), 2), nodes(random_.randrange(12), 2)
+        whole = html_extraction.matching(a, b)
+        with monkeypatch.context() as patched:
+            patched.setattr(html_extraction, "TABLE", 0)
+            assert html_extraction.matching(a, b) == whole
+    # Some 160,000 pairs, beyond the whole table.
+    long = [["p", 1, {}, [], 1], ["h2", 1, {}, [["b", 1, {}, [], 1]] * 9, 1]] * 200
+    assert html_extraction.matching(long, [["p", 1, {}, [], 1], ["q", 1, {}, [], 1], *long[1:]])[0] == 200 * 11
+
+
 def test_simple_tree_matching():
     leaf = lambda x: [x, 1, {}, []]
     a, b = [leaf("p"), ["div", 1, {}, [leaf("i"), leaf("b")]], leaf("q")], [leaf("x"), ["div", 1, {}, [leaf("b")]], leaf("q"), leaf("p")]
