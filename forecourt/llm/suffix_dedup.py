@@ -53,7 +53,7 @@ MOST_WINDOWS = 32
 HOT = 4096
 BLOCK_BYTES = 8 << 20
 KEYS_AT_ONCE = 1 << 19
-BATCH_BYTES = 1 << 18
+BATCH_BYTES = 1 << 16
 #: Bits of the bitmap for each marked key, and its largest size (32 MB).
 BITS_PER_KEY, LEAST_BITS, MOST_BITS = 16, 20, 28
 MIX, POWER = np.uint64(0x9E3779B97F4A7C15), 0x100000001B3
@@ -170,8 +170,8 @@ def _repeated_keys(docs: DataFrame, span: int, gram: int) -> tuple[np.ndarray, i
         for _, _, data, ends in _batches(batches):
             first, _, key, *_ = _runs(np.frombuffer(data, np.uint8), ends, span, gram)
             doc = np.searchsorted(ends, first, side="right").astype(np.uint64)
-            # One of each key and document.
-            pair = np.unique(np.stack([key >> np.uint64(20), doc], axis=1), axis=0)[:, 0] if len(first) else key
+            # One of each key and document: 44 bits of key, 20 of the document's place in the batch.
+            pair = np.unique((key & ~np.uint64((1 << 20) - 1)) | doc) >> np.uint64(20)
             held.append(pair)
             size += len(pair)
             if size >= KEYS_AT_ONCE:
