@@ -238,11 +238,18 @@ def _segments(docs: DataFrame, bitmap: np.ndarray, bits: int, span: int, gram: i
 
 
 class _Files:
-    """Transform and common prefixes of one generation, sequential by first symbol."""
+    """Transform and common prefixes of one generation, sequential by first symbol.
 
-    def __init__(self, folder: str, generation: int, mode: str, symbol: np.dtype):
+    A file is written over by the generation after the next, which is never shorter.
+    """
+
+    def __init__(self, folder: str, name: str, symbol: np.dtype):
         self.kinds = (symbol, np.dtype(np.uint8))
-        self.files = [open(os.path.join(folder, f"{name}-{generation % 2}"), mode) for name in ("bwt", "lcp")]  # noqa: SIM115
+        self.files = [open(os.path.join(folder, f"{kind}-{name}"), "w+b") for kind in ("bwt", "lcp")]  # noqa: SIM115
+
+    def rewind(self) -> None:
+        for f in self.files:
+            f.seek(0)
 
     def read(self, n: int) -> list[np.ndarray]:
         return [np.frombuffer(f.read(n * kind.itemsize), kind) for f, kind in zip(self.files, self.kinds, strict=True)]
@@ -257,16 +264,13 @@ class _Files:
 
 
 def _least_between(lcp: np.ndarray, after: np.ndarray, upto: np.ndarray) -> np.ndarray:
-    """min(lcp[after + 1 .. upto]) of each pair."""
+    """min(lcp[after + 1 .. upto]) of each pair, of which the first or the second places ascend; lcp has a place more at its end."""
     if not len(after):
         return np.zeros(0, np.uint8)
-    order = np.argsort(after)
+    # From the last pair to the first: what lies between two pairs is then not read.
     pairs = np.empty(2 * len(after), np.int64)
-    pairs[::2], pairs[1::2] = after[order] + 1, upto[order] + 1
-    padded = np.append(lcp, np.uint8(255))
-    out = np.empty(len(after), np.uint8)
-    out[order] = np.minimum.reduceat(padded, pairs)[::2]
-    return out
+    pairs[::2], pairs[1::2] = after[::-1] + 1, upto[::-1] + 1
+    return np.minimum.reduceat(lcp, pairs)[::2][::-1]
 
 
 def suffix_order(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, folder: str) -> tuple[np.ndarray, np.ndarray]:
@@ -280,71 +284,78 @@ def suffix_order(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, folder:
     symbol = np.dtype(np.uint8 if end_mark == 255 else np.uint16)
     n_symbols = end_mark + 1
     sizes = np.zeros(n_symbols, np.int64)  # of each bucket; the last bucket, read first, has the empty suffixes
+    counts = np.zeros((n_symbols, n_symbols), np.int64)  # of each symbol in the transform of a bucket
     order = [end_mark, *range(end_mark)]
     # To be inserted in this round, by bucket: place, string, common prefix before and after it.
+    # Places of a bucket ascend: a round finds them from its first bucket to its last.
     string = np.arange(m)
     at = ends.copy()
     bucket, place = np.full(m, end_mark), np.arange(m)
     before, after = np.zeros(m, np.uint8), np.zeros(m, np.uint8)
-    generation = 0
-    _Files(folder, 1, "wb", symbol).close()
+    old, new = _Files(folder, "0", symbol), _Files(folder, "1", symbol)
     while len(string):
-        old, new = _Files(folder, generation + 1, "rb", symbol), _Files(folder, generation, "wb", symbol)
+        old, new = new, old
+        old.rewind()
+        new.rewind()
         seen = np.zeros(n_symbols, np.int64)
-        by_bucket = np.lexsort((place, bucket))
-        cuts = np.searchsorted(bucket[by_bucket], np.arange(n_symbols + 1))
+        by_bucket = np.argsort(bucket.astype(np.uint16), kind="stable")
+        cuts = np.searchsorted(bucket[by_bucket], np.arange(n_symbols + 1)).tolist()
         following: list[tuple[np.ndarray, ...]] = []
         for z in order:
             if not sizes[z] and cuts[z] == cuts[z + 1]:
                 continue
             bwt, lcp = old.read(int(sizes[z]))
             mine = by_bucket[cuts[z]:cuts[z + 1]]
-            if len(mine):
-                q = place[mine]
-                size = len(bwt) + len(q)
-                rest = np.ones(size, bool)
-                rest[q] = False
-                inserted = [np.empty(size, kind) for kind in new.kinds]
-                for column, values in zip(inserted, (bwt, lcp), strict=True):
-                    column[rest] = values
-                start = begins[string[mine]]
-                inserted[0][q] = np.where(at[mine] > start, data[np.maximum(at[mine] - 1, 0)].astype(symbol), symbol.type(end_mark))
-                inserted[1][q] = before[mine]
-                # The common prefix of what follows an insertion, where that was there before.
-                next_ = q + 1
-                settled = (next_ < size) & np.r_[next_[:-1] != q[1:], True]
-                inserted[1][next_[settled]] = after[mine][settled]
-                bwt, lcp = inserted
-                sizes[z] = size
-            new.write([bwt, lcp])
-            if len(bwt):
-                here = np.bincount(bwt, minlength=n_symbols)
-                if len(mine):
-                    longer = at[mine] > start
-                    mine, q = mine[longer], q[longer]
-                if len(mine):
-                    # The place of each next longer suffix: its symbol's occurrences up to here.
-                    by_symbol = np.argsort(bwt, kind="stable")
-                    rank = np.empty(len(bwt), np.int64)
-                    rank[by_symbol] = np.arange(len(bwt))
-                    first = np.cumsum(here) - here
-                    c = bwt[q].astype(np.int64)
-                    r = rank[q]
-                    low, high = np.zeros(len(q), np.uint8), np.zeros(len(q), np.uint8)
-                    has = r > first[c]
-                    low[has] = np.minimum(_least_between(lcp, by_symbol[r[has] - 1], q[has]), 254)
-                    has = r + 1 < first[c] + here[c]
-                    high[has] = np.minimum(_least_between(lcp, q[has], by_symbol[r[has] + 1]), 254)
-                    first_of_all = (seen[c] == 0) & (r == first[c])
-                    following.append((string[mine], at[mine] - 1, c, seen[c] + r - first[c], np.where(first_of_all, 0, low + 1).astype(np.uint8), (high + 1).astype(np.uint8)))
+            here = counts[z]
+            if not len(mine):
+                new.write([bwt, lcp])
                 seen += here
-        old.close()
-        new.close()
-        generation += 1
+                continue
+            q = place[mine]
+            size = len(bwt) + len(q)
+            rest = np.ones(size, bool)
+            rest[q] = False
+            wider = np.empty(size + 1, np.uint8)
+            wider[size] = 255
+            inserted = [np.empty(size, symbol), wider[:size]]
+            for column, values in zip(inserted, (bwt, lcp), strict=True):
+                column[rest] = values
+            bwt, lcp = inserted
+            end = at[mine]
+            longer = end > begins[string[mine]]
+            c = np.where(longer, data[np.maximum(end - 1, 0)].astype(symbol), symbol.type(end_mark))
+            bwt[q] = c
+            lcp[q] = before[mine]
+            # The common prefix of what follows an insertion, where that was there before.
+            next_ = q + 1
+            settled = (next_ < size) & np.r_[next_[:-1] != q[1:], True]
+            lcp[next_[settled]] = after[mine[settled]]
+            sizes[z] = size
+            new.write([bwt, lcp])
+            here += np.bincount(c, minlength=n_symbols)
+            mine, q, c, end = mine[longer], q[longer], c[longer], end[longer]
+            if len(mine):
+                # The place of each next longer suffix: its symbol's occurrences up to here.
+                by_symbol = np.argsort(bwt, kind="stable")
+                asked = np.zeros(size, bool)
+                asked[q] = True
+                r = np.empty(len(q), np.int64)
+                r[np.argsort(c, kind="stable")] = np.flatnonzero(asked[by_symbol])
+                c = c.astype(np.int64)
+                first = np.cumsum(here) - here
+                low, high = np.zeros(len(q), np.uint8), np.zeros(len(q), np.uint8)
+                has = r > first[c]
+                low[has] = np.minimum(_least_between(wider, by_symbol[r[has] - 1], q[has]), 254)
+                has = r + 1 < first[c] + here[c]
+                high[has] = np.minimum(_least_between(wider, q[has], by_symbol[r[has] + 1]), 254)
+                first_of_all = (seen[c] == 0) & (r == first[c])
+                following.append((string[mine], end - 1, c, seen[c] + r - first[c], np.where(first_of_all, 0, low + 1).astype(np.uint8), (high + 1).astype(np.uint8)))
+            seen += here
         string, at, bucket, place, before, after = (np.concatenate(x) for x in zip(*following, strict=True)) if following else (np.zeros(0, np.int64),) * 6
-    last = _Files(folder, generation - 1, "rb", symbol)
-    bwt, lcp = last.read(int(sizes.sum()))
-    last.close()
+    new.rewind()
+    bwt, lcp = new.read(int(sizes.sum()))
+    old.close()
+    new.close()
     # Suffix numbers: from each string's empty suffix, its next longer one is the one that stands
     # where the sorted transform has the symbol before it.
     by_symbol = np.argsort(bwt, kind="stable")
@@ -368,7 +379,7 @@ def _found(rows: list[tuple[tuple[int, int], bytes, object]], span: int, folder:
     data = np.frombuffer(b"".join(b for _, b, _ in rows), np.uint8)
     number, lcp = suffix_order(data, begins, ends, folder)
     _, smallest = np.unique(np.array([i for _, _, i in rows]), return_inverse=True)
-    of = np.searchsorted(ends, number, side="right")
+    of = np.repeat(np.arange(len(rows)), lengths)[number]
     apart = np.nonzero(np.r_[True, lcp[1:] < span])[0] if len(lcp) else np.zeros(0, np.int64)
     first = np.repeat(np.minimum.reduceat(smallest[of], apart), np.diff(np.r_[apart, len(of)])) if len(of) else smallest[:0]
     hit = np.nonzero(first < smallest[of])[0]

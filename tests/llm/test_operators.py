@@ -126,6 +126,19 @@ def test_suffix_order_and_common_prefixes(tmp_path):
             assert a[:k] == b[:k] and (len(a) == k or len(b) == k or a[k] != b[k])
 
 
+def test_suffix_order_writes_over_its_files(tmp_path, monkeypatch):
+    """A round opens no file of its own, and counts and places come without a pass over all that was inserted before."""
+    made, files = [], suffix_dedup._Files
+    monkeypatch.setattr(suffix_dedup, "_Files", lambda *a: made.append(a) or files(*a))
+    texts = [b"abracadabra" * 5, b"cadabra", b"\xff\x00abra", b"bra" * 20]
+    ends = np.cumsum([len(t) for t in texts])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    number, _ = suffix_dedup.suffix_order(data, ends - [len(t) for t in texts], ends, str(tmp_path))
+    suffixes = [data[n:ends[np.searchsorted(ends, n, side="right")]].tobytes() for n in number]
+    assert suffixes == sorted(suffixes) and len(suffixes) == len(data)
+    assert len(made) == 2 and len(list(tmp_path.iterdir())) == 4
+
+
 @pytest.mark.parametrize("hot", [1, 4096])
 def test_repeats_against_brute_force(spark, docs, none, hot):
     rng = random.Random(5)
