@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.functions.text import decode_entities, number, strip_ws
@@ -164,6 +164,33 @@ def strip_scripts(page: Column) -> Column:
     return F.regexp_replace(page, _SCRIPTED, "$1")
 
 
+def _past_comments(tag: str, *conditions: str, whole_tag: bool) -> str:
+    """Pattern for ``first_element`` (or, ``whole_tag``, its opening tag) of ``strip_comments(html)`` on the page as it is.
+
+    From the start it takes what ``strip_comments`` tells apart (comments, scripts, styles, other "<"), up to the
+    element.  It matches only where the comments before cannot have cut a tag in two and the element
+    has none inside: there both ways find the same.  Any other page is left without a match.
+    """
+    kind, either, met = rf"(?i:{tag})", r"(?i:script|style)[\s>]", "".join(conditions)
+    clean = r"""[^<>"']*+(?:(?:"[^"<]*+"|'[^'<]*+')[^<>"']*+)*+"""
+    own = rf"{kind}[\s>]"
+    raw = tag in ("script", "style")
+
+    def block(t: str, opening: str = "") -> str:
+        return rf"<(?i:{t})(?=[\s>]){opening}{_upto(rf'/(?i:{t})' + rf'\s*>|{own}')}</(?i:{t})\s*>"
+
+    # A tag of this kind that lacks the conditions; of a script or style, what it holds as well.
+    other = block(tag, rf"(?!{met}){clean}>") if raw else rf"<{kind}(?=[\s>])(?!{met}){clean}>"
+    comment = r"(?<![^>\s])<!--[^-]*+(?:-(?!->)[^-]*+)*+-->"
+    units = [rf"<(?!!--|{either}|{own})", other, comment, *(block(t) for t in ("script", "style") if t != tag)]
+    before = rf"\A[^<]*+(?:(?:{'|'.join(units)})[^<]*+)*+"
+    head = rf"<{kind}(?=[\s>]){met}{clean}"
+    if whole_tag:
+        return rf"{before}({head}>)"
+    held = _upto(rf"{own}|/{kind}\s*>" + ("" if raw else rf"|!--|{either}"))
+    return rf"{before}{head}(>{held})</{kind}\s*>"
+
+
 _MARKUP = rf"(?is)<(script|style)(?=[\s>]).*?(?:</\1\s*>|\z)|</?[a-z!]{_INSIDE}>"
 
 
@@ -192,17 +219,24 @@ def attribute_source(open_tag: Column, name: str) -> Column:
 
 # --- elements of a listing page; all take the page with its comments stripped ---------------
 
+_NAME = ("a", by_class("valu makemodel"))
+_YEAR = ("span", by_class("valu year"))
+_TITLE = ("span", by_id("titletextonly"))
+_TIME = ("time", by_class("date timeago"))
+_IMAGES = ("span", by_class("slider-info"))
+_JSONLD = ("script", by_id("ld_posting_data"))
+
 
 def name_element(page: Column) -> Column:
-    return first_element(page, "a", by_class("valu makemodel"))
+    return first_element(page, *_NAME)
 
 
 def year_element(page: Column) -> Column:
-    return first_element(page, "span", by_class("valu year"))
+    return first_element(page, *_YEAR)
 
 
 def title_element(page: Column) -> Column:
-    return first_element(page, "span", by_id("titletextonly"))
+    return first_element(page, *_TITLE)
 
 
 def body_element(page: Column) -> Column:
@@ -210,15 +244,33 @@ def body_element(page: Column) -> Column:
 
 
 def time_tag(page: Column) -> Column:
-    return F.regexp_extract(page, opening_tag("time", by_class("date timeago")), 0)
+    return F.regexp_extract(page, opening_tag(*_TIME), 0)
 
 
 def images_element(page: Column) -> Column:
-    return first_element(page, "span", by_class("slider-info"))
+    return first_element(page, *_IMAGES)
 
 
 def jsonld_element(page: Column) -> Column:
-    return first_element(page, "script", by_id("ld_posting_data"))
+    return first_element(page, *_JSONLD)
+
+
+#: Of those, what finds the same on a page that still has its comments, without reading past it; '' where that cannot be told.
+PAST_COMMENTS = {
+    find: _past_comments(*where, whole_tag=find is time_tag)
+    for find, where in (
+        (name_element, _NAME), (year_element, _YEAR), (title_element, _TITLE), (time_tag, _TIME), (images_element, _IMAGES), (jsonld_element, _JSONLD),
+    )
+}
+
+
+def find_in_source(pages: DataFrame, find, html: str = "raw_html", name: str = "found") -> DataFrame:
+    """``find(strip_comments(html))`` as a column: in one pass up to the element where possible, else on the stripped page."""
+    stripped = find(strip_comments(F.col(html)))
+    if find not in PAST_COMMENTS:
+        return pages.withColumn(name, stripped)
+    near = pages.withColumn(name, F.regexp_extract(html, PAST_COMMENTS[find], 1))
+    return near.withColumn(name, F.when(F.col(name) != "", F.col(name)).otherwise(stripped))
 
 
 # --- readers -------------------------------------------------------------------------------

@@ -58,7 +58,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _field(spark, sf_dir, name: str, find, *reads) -> DataFrame:
     """Element, then each step of reading it, in projections of their own: nothing is computed twice."""
-    rows = _pages(spark, sf_dir).select("url", find(c("page")).alias("found"))
+    rows = H.find_in_source(sample.raw_pages(spark, sf_dir).select("url", "raw_html"), find).select("url", "found")
     for read in reads[:-1]:
         rows = rows.select("url", read(c("found")).alias("found"))
     return rows.select("url", reads[-1](c("found")).alias(name))
@@ -327,7 +327,7 @@ _GEO = """l_linenumber + CAST(0.25 AS DOUBLE) AS latitude,
 @query(_with(f"SELECT url, {_GEO} FROM listings"))
 def jsonld_geo(spark, sf_dir):
     doc = H.source_of(c("found"))
-    return _pages(spark, sf_dir).select("url", H.jsonld_element(c("page")).alias("found")).select(
+    return H.find_in_source(sample.raw_pages(spark, sf_dir).select("url", "raw_html"), H.jsonld_element).select(
         "url",
         H.jsonld_latitude(doc).alias("latitude"),
         H.jsonld_longitude(doc).alias("longitude"),

@@ -182,19 +182,29 @@ def _nested(tag: str, text: Column, deep: Column | None) -> Column:
     return once if deep is None else F.when(deep, F.concat(F.lit(f"<{tag}>" * DEPTH), text, F.lit(f"</{tag}>" * DEPTH))).otherwise(once)
 
 
-def _attr(label: str, value: Column, odd: Column, deep: Column | None = None) -> Column:
-    """An attribute row, written in one of two equivalent ways: its value, and what stands before and after it."""
-    before = F.when(odd, F.concat(
-        F.lit(f"<div data-n='1' class='attr auto_x'>\n  <span id=l class=labl> {label}: </span>"),
-        F.lit('\n  <div class="tip">a '), _nested("div", F.lit("nested"), deep), F.lit(' tip</div><span title="v > w" class="valu"> <a href="/s">'),
-    )).otherwise(F.lit(f'<div class="attr"><span class="labl">{label}:</span> <span class="valu">'))
-    after = F.when(odd, F.lit("</a> </span>\n</div>\n")).otherwise(F.lit("</span></div>\n"))
-    return F.struct(before.alias("before"), value.cast("string").alias("value"), after.alias("after"))
-
+def _markup(label: str, odd: bool, deep: bool) -> Column:
+    """What stands before and after the value in an attribute row, written in one of two equivalent ways."""
+    tip = f"{'<div>' * DEPTH}nested{'</div>' * DEPTH}" if deep else "<div>nested</div>"
+    before = (
+        f"<div data-n='1' class='attr auto_x'>\n  <span id=l class=labl> {label}: </span>"
+        f'\n  <div class="tip">a {tip} tip</div><span title="v > w" class="valu"> <a href="/s">'
+    ) if odd else f'<div class="attr"><span class="labl">{label}:</span> <span class="valu">'
+    after = "</a> </span>\n</div>\n" if odd else "</span></div>\n"
+    return F.struct(F.lit(before).alias("before"), F.lit(after).alias("after"))
+
+
+def _attrs(odd: Column, deep: Column, rows: list[tuple[str, Column, bool]], nested: str) -> Column:
+    """Attribute rows (label, value, written the odd way on odd or on other pages) with a value, as one text.
+
+    The markup is constant but for ``odd`` and, in the row ``nested``, ``deep``; values are escaped in a loop, so that
+    the code for a page stays short enough to be compiled.
+    """
+    def written(is_odd: bool | None, is_deep: bool = False) -> Column:
+        return F.array(*[_markup(label, is_odd == on_odd, is_deep and label == nested) for label, _, on_odd in rows])
 
-def _attrs(*rows: Column) -> Column:
-    """Attribute rows with a value, as one text: escaped in a loop over them, so the code for a page stays short enough to be compiled."""
-    return F.array_join(F.transform(F.array(*rows), lambda r: F.concat(r["before"], _escape(r["value"]), r["after"])), "")
+    markup = F.when(odd & deep, written(True, True)).when(odd, written(True)).when(~odd, written(False)).otherwise(written(None))
+    values = F.array(*[value.cast("string") for _, value, _ in rows])
+    return F.array_join(F.zip_with(markup, values, lambda m, v: F.concat(m["before"], _escape(v), m["after"])), "")
 
 
 def body_text(row_no: Column, name: Column) -> Column:
@@ -244,19 +254,19 @@ def render_pages(listings_df: DataFrame) -> DataFrame:
         F.lit('<span class="slider-info">image 1 of '), c("l_linenumber").cast("string"),
         F.lit('</span>\n<div class="attrgroup"><span class="valu year"> '), or_blank("year"),
         F.lit('</span>\n<a href="/x" class="valu makemodel"> '), _escape(or_blank("name")), F.lit(" </a></div>\n"),
-        _attrs(
-            _attr("odometer", miles, odd, thousands),
-            _attr("condition", c("condition"), odd),
-            _attr("title status", F.lit("unknown"), odd),
-            _attr("title status", c("title"), ~odd),
-            _attr("paint color", c("paint"), odd),
-            _attr("drive", c("drive"), odd),
-            _attr("cylinders", c("cylinders"), ~odd),
-            _attr("type", c("type"), odd),
-            _attr("VIN", c("vin"), ~odd),
-            _attr("fuel", c("fuel"), odd),
-            _attr("transmission", c("transmission"), ~odd),
-        ),
+        _attrs(odd, thousands, [
+            ("odometer", miles, True),
+            ("condition", c("condition"), True),
+            ("title status", F.lit("unknown"), True),
+            ("title status", c("title"), False),
+            ("paint color", c("paint"), True),
+            ("drive", c("drive"), True),
+            ("cylinders", c("cylinders"), False),
+            ("type", c("type"), True),
+            ("VIN", c("vin"), False),
+            ("fuel", c("fuel"), True),
+            ("transmission", c("transmission"), False),
+        ], nested="odometer"),
         F.lit('<section class="body" id="postingbody"><div>'),
         _nested("section", F.lit("<p>QR</p>"), thousands),
         F.lit('<script>var a = "<p>";</script></div>'),
